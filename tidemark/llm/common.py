@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import ship_package
+
 #: Rows of one Arrow batch: whole texts travel in them, so the default of 10,000 could need gigabytes.
 BATCH_ROWS = 512
 
@@ -47,15 +49,16 @@ def held_out(doc_id: Column | str = "doc_id") -> Column:
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def sample_of(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """About ``rows`` rows of ``df`` by a hash of ``key``, all of them if there are no more.
+def bounded_sample(df: DataFrame, key: str, text: str, max_bytes: int) -> DataFrame:
+    """Rows of ``df`` with about ``max_bytes`` of ``text`` together, chosen by a hash of ``key``; all if they fit.
 
-    The same rows at every run and partitioning; a count decides the share, so the bound holds at any size.
+    The same rows at every run and partitioning; the share follows from the bytes there are, so what is
+    gathered stays bounded at any size.
     """
-    total = df.count()
-    if total <= rows:
+    total = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    if total <= max_bytes:
         return df
-    cut = int(rows / total * (1 << 30))
+    cut = int(max_bytes / total * (1 << 30))
     return df.where(F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit("sample")), F.lit(1 << 30)) < cut)
 
 
@@ -73,6 +76,7 @@ def map_text(
     output columns replace carried ones of the same name.
     """
     spark = df.sparkSession
+    ship_package(spark)
     bound = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
     if not 0 < bound <= BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import map_text, materialise
+from tidemark.session import ship_package
 
 CAPACITY = 2048
 #: Distinct white-space-free chunks whose ids a task keeps, and their longest size in characters.
@@ -236,6 +237,7 @@ def pack(pieces: DataFrame, *, capacity: int = CAPACITY, doc_id: str = "doc_id")
     Equal rows (repeated documents) are ranked in any order; an empty table gives an empty result.
     """
     spark = pieces.sparkSession
+    ship_package(spark)
     rows = pieces.groupBy("length").count().collect()
     plan = Plan({r["length"]: r["count"] for r in rows}, capacity)
     buckets = max(8, math.ceil(sum(r["count"] for r in rows) / BUCKET_PIECES))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, packing
+from tidemark.llm import decontamination, packing, quality_classifier, toxicity
+from tidemark.llm.common import held_out
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,9 +21,23 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    net = quality_classifier.fit(docs, _table(spark, sf_dir, "labels"))
+    return quality_classifier.score(docs, net, keep=["doc_id"]).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, keep=["doc_id"])
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op7_quality_classifier": op7_quality_classifier,
+    "op10_toxicity": op10_toxicity,
 }
 
 _OP1 = r"""
