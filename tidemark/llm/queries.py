@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, packing, quality_classifier, toxicity
+from tidemark.llm import decontamination, language_id, packing, quality_classifier, toxicity
 from tidemark.llm.common import held_out
 
 
@@ -21,6 +21,12 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_id.fit(docs), keep=["doc_id"])
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     net = quality_classifier.fit(docs, _table(spark, sf_dir, "labels"))
@@ -36,6 +42,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op4_language_id": op4_language_id,
     "op7_quality_classifier": op7_quality_classifier,
     "op10_toxicity": op10_toxicity,
 }
