@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, language_id, packing, quality_classifier, toxicity
+from tidemark.llm import decontamination, language_id, packing, quality_classifier, quality_rules, toxicity
 from tidemark.llm.common import held_out
 
 
@@ -27,6 +27,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.apply_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     net = quality_classifier.fit(docs, _table(spark, sf_dir, "labels"))
@@ -43,6 +48,7 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_language_id": op4_language_id,
+    "op6_quality_rules": op6_quality_rules,
     "op7_quality_classifier": op7_quality_classifier,
     "op10_toxicity": op10_toxicity,
 }
@@ -74,4 +80,54 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM words LEFT JOIN places USING (doc_id) LEFT JOIN owners USING (doc_id)
 """
 
-ORACLE_SQL = {"op1_decontamination": _OP1}
+_GRID = ", ".join(f"('{r}', {k}, CAST({c} AS DOUBLE))" for r, cs in quality_rules.RULES.items() for k, c in enumerate(cs, 1))
+_ALPHA = quality_rules.ALPHA / len(quality_rules.RULES)
+_DELTA = quality_rules.DELTA / len(quality_rules.RULES) / len(quality_rules.STRATA)
+_STRATUM = " + ".join(f"CAST(n_words >= {n} AS INTEGER)" for n in quality_rules.STRATA[1:])
+
+_OP6 = rf"""
+WITH split AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), lines AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT l) AS n_dup_lines
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM split) AS x WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id
+), windows AS (
+  SELECT doc_id, s, array_to_string(w[s:s + 7], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS s FROM split) AS x
+), twice AS (
+  SELECT doc_id, s FROM (SELECT doc_id, s, count(*) OVER (PARTITION BY doc_id, k) AS c FROM windows) AS x WHERE c > 1
+), repeats AS (
+  SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM (SELECT doc_id, unnest(range(s, s + 8)) AS p FROM twice) AS x GROUP BY doc_id
+), base AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS BIGINT) AS n_capitals,
+         CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
+  FROM split LEFT JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id)
+), judged AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, {_STRATUM} AS stratum FROM base
+), measures AS (
+  SELECT doc_id, stratum, base_failed, unnest([
+    {{'rule': 'symbols_per_word', 'm': coalesce(n_symbols / nullif(n_words, 0), 0)}}, {{'rule': 'capitals_share', 'm': coalesce(n_capitals / nullif(word_chars, 0), 0)}},
+    {{'rule': 'dup_line_share', 'm': coalesce(n_dup_lines / nullif(n_lines, 0), 0)}}, {{'rule': 'repeat_word_share', 'm': coalesce(n_repeat_words / nullif(n_words, 0), 0)}},
+    {{'rule': 'word_length', 'm': coalesce(word_chars / nullif(n_words, 0), 0)}}, {{'rule': 'word_shortness', 'm': -coalesce(word_chars / nullif(n_words, 0), 0)}}], recursive := true)
+  FROM judged
+), grid AS (
+  SELECT * FROM (VALUES {_GRID}) AS g(rule, nth, cutoff)
+), counted AS (
+  SELECT stratum, g.rule, nth, cutoff, count(*) FILTER (quality > 0) AS n, count(*) FILTER (quality > 0 AND m > cutoff) AS x, count(*) FILTER (quality <= 0 AND m > cutoff) AS caught
+  FROM measures JOIN (SELECT doc_id, min(quality) AS quality FROM labels WHERE quality IS NOT NULL GROUP BY doc_id) AS l USING (doc_id) JOIN grid AS g USING (rule)
+  WHERE NOT base_failed GROUP BY ALL
+), tested AS (
+  SELECT *, x <= n * {_ALPHA} AND list_sum(list_transform(range(0, x + 1), lambda i: exp(lgamma(n + 1.0) - lgamma(i + 1.0) - lgamma(n - i + 1.0) + i * ln({_ALPHA}) + (n - i) * ln(1 - {_ALPHA})))) <= {_DELTA} AS fine FROM counted
+), certified AS (
+  SELECT *, bool_and(coalesce(fine, false)) OVER (PARTITION BY stratum, rule ORDER BY nth) AS so_far FROM tested
+), chosen AS (
+  SELECT stratum, rule, cutoff FROM certified WHERE so_far AND caught > x QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY x - caught, nth) = 1
+), bad AS (
+  SELECT DISTINCT doc_id FROM measures JOIN chosen USING (stratum, rule) WHERE m > cutoff
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept FROM judged
+"""
+
+ORACLE_SQL = {"op1_decontamination": _OP1, "op6_quality_rules": _OP6}
