@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, language_id, packing, quality_classifier, quality_rules, toxicity
+from tidemark.llm import decontamination, html_extraction, language_id, packing, quality_classifier, quality_rules, toxicity
 from tidemark.llm.common import held_out
 
 
@@ -21,6 +21,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(_table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found = language_id.identify(docs, language_id.fit(docs), keep=["doc_id"])
@@ -47,6 +51,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_html_extraction": op3_html_extraction,
     "op4_language_id": op4_language_id,
     "op6_quality_rules": op6_quality_rules,
     "op7_quality_classifier": op7_quality_classifier,
