@@ -8,11 +8,15 @@ pieces themselves are cut, ranked and placed by Spark.
 from __future__ import annotations
 
 import bisect
+import itertools
 import math
+import re
 import zlib
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,20 +37,50 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: How the vocabulary's tokenizer cuts a normalised text into the words it merges letters in.
+_CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: Printable Latin characters, which are normalised already but for upper case.
+_LATIN = re.compile("[!-~\u00a1-\u012f\u0131-\u024f]+")
+
+
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if printable, else the next free one."""
+    own = [33 <= b <= 126 or 161 <= b <= 172 or b >= 174 for b in range(256)]
+    free = itertools.count(256)
+    return [chr(b) if own[b] else chr(next(free)) for b in range(256)]
+
+
 class ChunkCache(dict):
     """Ids (little-endian unsigned 32-bit) of a chunk of text without ASCII white space.
 
     The vocabulary's tokenizer drops white space and never joins tokens across it, so a text's ids are
-    those of its chunks one after the other; frequent chunks are then looked up.
+    those of its chunks one after the other; frequent chunks, and frequent words in them, are looked up.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode
+        self.tokenizer = Tokenizer.from_file(path)
+        self.merge = self.tokenizer.model.tokenize
+        self.letters = _byte_letters()
+        self.words: dict[str, bytes] = {}
+
+    def _word(self, word: str) -> bytes:
+        ids = self.words.get(word)
+        if ids is None:
+            mapped = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
+            ids = b"".join(t.id.to_bytes(4, "little") for t in self.merge(mapped))
+            if len(word) <= CACHE_CHARS:
+                if len(self.words) >= CACHE_CHUNKS:
+                    self.words.clear()
+                self.words[word] = ids
+        return ids
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = np.asarray(self.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        if _LATIN.fullmatch(chunk) and "<|" not in chunk:
+            ids = b"".join(map(self._word, _CUT.findall(chunk.lower())))
+        else:
+            ids = np.asarray(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
         if len(chunk) <= CACHE_CHARS:
             if len(self) >= CACHE_CHUNKS:
                 self.clear()
@@ -54,6 +88,12 @@ class ChunkCache(dict):
         return ids
 
 
+@lru_cache(maxsize=1)
+def _cache(path: str) -> ChunkCache:
+    """One for each Python worker, whichever tasks it runs."""
+    return ChunkCache(path)
+
+
 def token_pieces(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
     """doc_id, piece, start, length and ids_crc32 of each piece of each document.
 
@@ -65,7 +105,7 @@ def token_pieces(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     out = T.StructType.fromDDL(f"pieces {one}")
 
     def make():
-        cache, end = ChunkCache(path), bytes(4)
+        cache, end = _cache(path), bytes(4)
 
         def cut(texts: list[bytes | None]) -> list[list]:
             found = []
