@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, html_extraction, language_id, packing, quality_classifier, quality_rules, toxicity
+from tidemark.llm import decontamination, html_extraction, language_id, near_duplicates, packing, quality_classifier, quality_rules, toxicity
 from tidemark.llm.common import held_out
 
 
@@ -31,6 +31,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(_table(spark, sf_dir, "documents")).drop("k1", "k2")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.apply_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -53,6 +57,7 @@ QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_html_extraction": op3_html_extraction,
     "op4_language_id": op4_language_id,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_quality_classifier": op7_quality_classifier,
     "op10_toxicity": op10_toxicity,
