@@ -3,8 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
-from tidemark.llm import decontamination, html_extraction, language_id, near_duplicates, packing, quality_classifier, quality_rules, toxicity
+from pyspark.sql import functions as F
+
+from tidemark.llm import (
+    decontamination,
+    html_extraction,
+    language_id,
+    line_dedup,
+    near_duplicates,
+    packing,
+    preference,
+    quality_classifier,
+    quality_rules,
+    toxicity,
+)
 from tidemark.llm.common import held_out
 
 
@@ -46,6 +58,17 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(docs, net, keep=["doc_id"]).select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op8_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    pairs = preference.preference_pairs(turns, preference.echoed(turns), pair="conv_id")
+    shown = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
+    return pairs.withColumns({c: shown(c) for c in ("chosen_spans", "rejected_spans")})
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(_table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
@@ -60,6 +83,8 @@ QUERIES = {
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_preference_formatting": op8_preference_formatting,
+    "op9_line_dedup": op9_line_dedup,
     "op10_toxicity": op10_toxicity,
 }
 
@@ -140,4 +165,26 @@ WITH split AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept FROM judged
 """
 
-ORACLE_SQL = {"op1_decontamination": _OP1, "op6_quality_rules": _OP6}
+_OP8 = r"""
+WITH turns AS (
+  SELECT conv_id, row_number() OVER w AS n, role, text, lag(text, 1, '') OVER w AS before FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)
+), sides AS (
+  SELECT conv_id, n, role, text AS c, CASE WHEN n = max(n) FILTER (role = 'assistant') OVER (PARTITION BY conv_id) THEN before ELSE text END AS r FROM turns
+), marked AS (
+  SELECT *, coalesce(min(n) FILTER (c <> r) OVER (PARTITION BY conv_id), 1000000000) AS differs FROM sides
+), shown AS (
+  SELECT conv_id, n, role, n < differs AS shared, '<|im_start|>' || role || chr(10) || c || '<|im_end|>' || chr(10) AS tc, '<|im_start|>' || role || chr(10) || r || '<|im_end|>' || chr(10) AS tr FROM marked
+), placed AS (
+  SELECT *, coalesce(sum(length(tc)) OVER w, 0) AS ac, coalesce(sum(length(tr)) OVER w, 0) AS ar FROM shown
+  WINDOW w AS (PARTITION BY conv_id, shared ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+)
+SELECT conv_id, count(*) FILTER (shared) AS n_prompt_turns,
+       coalesce(string_agg(tc, '' ORDER BY n) FILTER (shared), '') AS prompt,
+       coalesce(string_agg(tc, '' ORDER BY n) FILTER (NOT shared), '') AS chosen,
+       coalesce(string_agg(tr, '' ORDER BY n) FILTER (NOT shared), '') AS rejected,
+       coalesce(string_agg((ac + 13 + length(role)) || '-' || (ac + length(tc) - 1), ',' ORDER BY n) FILTER (NOT shared AND role = 'assistant'), '') AS chosen_spans,
+       coalesce(string_agg((ar + 13 + length(role)) || '-' || (ar + length(tr) - 1), ',' ORDER BY n) FILTER (NOT shared AND role = 'assistant'), '') AS rejected_spans
+FROM placed GROUP BY conv_id
+"""
+
+ORACLE_SQL = {"op8_preference_formatting": _OP8, "op1_decontamination": _OP1, "op6_quality_rules": _OP6}
