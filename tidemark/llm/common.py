@@ -49,17 +49,36 @@ def held_out(doc_id: Column | str = "doc_id") -> Column:
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def _share(df: DataFrame, key: str, share: float) -> DataFrame:
+    """About that share of the rows by a hash of ``key``: the same at every run and partitioning."""
+    if share >= 1:
+        return df
+    return df.where(F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit("sample")), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
 def bounded_sample(df: DataFrame, key: str, text: str, max_bytes: int) -> DataFrame:
-    """Rows of ``df`` with about ``max_bytes`` of ``text`` together, chosen by a hash of ``key``; all if they fit.
+    """Rows of ``df`` with about ``max_bytes`` of ``text`` together; all if they fit.
 
-    The same rows at every run and partitioning; the share follows from the bytes there are, so what is
-    gathered stays bounded at any size.
+    The share follows from the bytes there are, so what is gathered stays bounded at any size.
     """
     total = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    if total <= max_bytes:
-        return df
-    cut = int(max_bytes / total * (1 << 30))
-    return df.where(F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit("sample")), F.lit(1 << 30)) < cut)
+    return _share(df, key, max_bytes / max(total, 1))
+
+
+#: Labels that a sample joins to documents at most: so many ids are broadcast.
+SAMPLE_LABELS = 100_000
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, max_bytes: int) -> DataFrame:
+    """``docs`` (key and text) with the columns of ``labels`` (a row for each key), of about ``max_bytes`` of text.
+
+    The labels are thinned first, to as many as documents of the mean size make up ``max_bytes`` and to
+    SAMPLE_LABELS at most; so bounded, they are broadcast and the texts stay where they are.
+    """
+    docs = docs.select(key, text)
+    mean = docs.agg(F.avg(F.octet_length(text))).first()[0] or 1.0
+    rows = min(max_bytes / max(mean, 1.0), SAMPLE_LABELS)
+    return docs.join(F.broadcast(_share(labels, key, rows / max(labels.count(), 1))), key)
 
 
 def map_text(

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import bounded_sample, held_out, map_text
+from tidemark.llm.common import held_out, labelled_sample, map_text
 
 #: Bytes of labelled text that a network is trained on at most.
 SAMPLE_BYTES = 24_000_000
@@ -148,8 +148,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     Without rows of both labels every score is the share of label 1.
     """
     marks = labels.where(F.col(label).isNotNull()).groupBy(doc_id).agg(F.min(label).cast("int").alias("__label"))
-    rows = docs.select(doc_id, text).where(~held_out(doc_id)).join(marks, doc_id)
-    got = bounded_sample(rows, doc_id, text, max_bytes).select(F.col(text).cast("binary").alias("t"), "__label", F.xxhash64(doc_id, text).alias("o")).toArrow()
+    rows = labelled_sample(docs, marks.where(~held_out(doc_id)), doc_id, text, max_bytes)
+    got = rows.select(F.col(text).cast("binary").alias("t"), "__label", F.xxhash64(doc_id, text).alias("o")).toArrow()
     order = np.argsort(got.column("o").to_numpy(), kind="stable")
     texts, marks = got.column("t").to_pylist(), (got.column("__label").to_numpy() > 0).astype(int)
     return train([texts[i] or b"" for i in order], marks[order])
