@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import bounded_sample, map_text, words_of
+from tidemark.llm.common import labelled_sample, map_text, words_of
 
 #: Bytes of labelled text that a model is fitted on at most.
 SAMPLE_BYTES = 40_000_000
@@ -90,8 +90,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     model finds nothing toxic.
     """
     marks = labels.where(F.col(label).isNotNull()).groupBy(doc_id).agg((F.max(label) > 0).alias("__toxic"))
-    rows = docs.select(doc_id, text).join(marks, doc_id)
-    sample = bounded_sample(rows, doc_id, text, max_bytes)
+    sample = labelled_sample(docs, marks, doc_id, text, max_bytes)
 
     def make():
         known: dict[bytes, list[int]] = {}
