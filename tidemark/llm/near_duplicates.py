@@ -24,9 +24,6 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: 24 bands of 5 slots: a pair of similarity 0.8 shares no band with a probability of 7e-5.
 BANDS, BAND_SLOTS = 24, 5
-#: Comparisons with a leader before the pairs that are still open are compared one by one.
-LEADER_ROUNDS = 3
-
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _KNOWN_WORDS = 400_000
 
@@ -154,8 +151,32 @@ def _sketches(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return map_text(fed, "text", T.StructType.fromDDL("digest binary, bands array<long>"), make, ["k1", "k2", "doc_id"])
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b, distance) of pairs of digests, by the overlap of their whole bags."""
+def _least(n: int, share: float) -> int:
+    """The least whole number that is ``share`` of ``n`` or more."""
+    return int(np.ceil(share * n - 1e-9))
+
+
+def prefix_keys(bag: tuple[np.ndarray, np.ndarray], leader: tuple[np.ndarray, np.ndarray], name: bytes, similarity: float) -> np.ndarray:
+    """The first shingles of a bag in its leader's order, as many as a partner must share one of.
+
+    What the leader lacks comes first, so that the keys of bags far from it are their own.  A shingle's
+    repetitions are told apart.
+    """
+    items, counts = bag
+    nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    at = np.minimum(np.searchsorted(leader[0], items), len(leader[0]) - 1)
+    theirs = np.where(leader[0][at] == items, leader[1][at], 0)
+    token = _mix(np.repeat(items, counts) + (nth + 1).astype("uint64") * _GOLDEN)
+    order = np.lexsort((token, nth < np.repeat(theirs, counts)))
+    size = len(token) - _least(len(token), similarity) + 1
+    return _mix(token[order[:size]] ^ np.uint64(int.from_bytes(name[:8], "little"))).view("int64")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, prefixes: float | None = None) -> DataFrame:
+    """(a, b, distance) of pairs of digests by the overlap of their whole bags.
+
+    With a similarity as ``prefixes`` also size and keys: the shingles of a and its prefix in b's order.
+    """
     side = lambda c: texts.select(F.col("digest").alias(c), F.col("text").alias(f"text_{c}"))
     fed = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", F.col("text_a").cast("binary"), F.col("text_b").cast("binary"))
     ship_package(pairs.sparkSession)
@@ -175,23 +196,52 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             return recent[key]
 
         for batch in batches:
-            a, b, x, y = (c.to_pylist() for c in batch.columns)
-            far = [1 - overlap(bag(*p), bag(*q)) for p, q in zip(zip(a, x, strict=True), zip(b, y, strict=True), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(far, pa.float64())], names=["a", "b", "distance"])
+            far, sizes, keys = [], [], []
+            for a, b, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                mine, other = bag(a, x), bag(b, y)
+                far.append(1 - overlap(mine, other))
+                if prefixes:
+                    sizes.append(int(mine[1].sum()))
+                    keys.append(prefix_keys(mine, other, b, prefixes))
+            made = [pa.array(far, pa.float64())] + ([pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))] if prefixes else [])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *made], names=["a", "b", "distance", *(["size", "keys"] if prefixes else [])])
+
+    return fed.mapInArrow(compare, "a binary, b binary, distance double" + (", size long, keys array<long>" if prefixes else ""))
 
-    return fed.mapInArrow(compare, "a binary, b binary, distance double")
+
+def _open_pairs(checked: DataFrame, component: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): pairs with one leader and different components that may reach ``similarity``.
+
+    Two such bags share a shingle among the first of each in the leader's order (prefix filter); at the
+    first shared one the rest of both must still suffice (positional filter).  Pairs within the leader's
+    own component, the bulk of a large group, are never met: one side is always from outside it.
+    """
+    at = lambda c: component.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
+    placed = checked.join(at("a"), "a", "left").join(at("b"), "b", "left")
+    placed = placed.withColumns({"ca": F.coalesce("ca", "a"), "cb": F.coalesce("cb", "b")})
+    outside = placed.where("ca <> cb").select("b").distinct()
+    rows = placed.join(outside, "b", "left_semi").select("a", "ca", "size", (F.col("ca") == F.col("cb")).alias("led"), F.posexplode("keys").alias("pos", "key"))
+    rows = materialise(rows, "prefixes")
+    least = lambda n: F.ceil(n * (similarity / (1 + similarity)) - 1e-9)
+    short = rows.where(F.col("pos") <= F.col("size") - least(2 * F.col("size")))
+    x = short.select("key", F.col("a").alias("x"), F.col("ca").alias("cx"), F.col("size").alias("nx"), F.col("pos").alias("px"), F.col("led").alias("lx"))
+    y = rows.select("key", F.col("a").alias("y"), F.col("ca").alias("cy"), F.col("size").alias("ny"), F.col("pos").alias("py"), F.col("led").alias("ly"))
+    enough = (F.col("cx") != F.col("cy")) & (F.col("nx") <= F.col("ny")) & (F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py")) >= least(F.col("nx") + F.col("ny")))
+    met = [x.where("NOT lx").alias("p").join(y.alias("q"), (F.col("p.key") == F.col("q.key")) & enough), x.where("lx").alias("p").join(y.where("NOT ly").alias("q"), (F.col("p.key") == F.col("q.key")) & enough)]
+    pairs = met[0].select("x", "y").unionByName(met[1].select("x", "y"))
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id, group_id and keep of each document, with k1 and k2 (which tell rows apart).
 
     Documents with the same words are a class, named by its least id.  Classes that share a band are
-    compared: first all of a band's classes with its leader (the class that shares most bands with others),
-    then, while a band's classes lie in several components, with another leader, and at last the pairs
-    still open one by one -- but for those that the triangle inequality rules out by their distances from
-    the leader.  So each link between different texts of a band is found or can't change a component.
-    Components of classes linked at ``similarity`` or more are groups, named by their least id; one document
-    of each, that with the least id, has ``keep``.
+    compared with the band's leader, the class that shares most bands with others.  Where that leaves a
+    leader's classes in several components, the pairs among them that can still reach ``similarity`` are
+    found by their prefixes in the leader's order and compared too.  So each link between different texts
+    of a band is found or can't change a component, and no group's pairs are listed.  Components of classes
+    linked at ``similarity`` or more are groups, named by their least id; one document of each, that with
+    the least id, has ``keep``.
 
     Defined cases: a document without words (or a null text) is a class and group of its own; documents
     with fewer than five words are one shingle; rows with the same id and text share their flags; null ids
@@ -211,42 +261,16 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     found = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).select("text", *_row_key("doc_id", "text")).join(wanted, ["k1", "k2"])
     texts = materialise(found.select("digest", "text").dropDuplicates(["digest"]), "texts")
 
-    links = None
-    component = None
-    open_rows = members
-    for turn in range(LEADER_ROUNDS):
-        # a band's leader; later ones lead from a component that the leaders before weren't in
-        top = open_rows.groupBy("key").agg(F.max(F.struct("rank", "digest")).alias("top")).select("key", F.col("top.digest").alias("leader"))
-        led = open_rows.join(top, "key")
-        pairs = led.where("digest <> leader").select(F.col("digest").alias("a"), F.col("leader").alias("b")).distinct()
-        checked = materialise(_verified(pairs, texts), "checked")
-        near = checked.where(F.col("distance") <= limit).select("a", "b")
-        links = near if links is None else links.unionByName(near)
-        component = materialise(connected_components(links), "components")
-        placed = led.join(checked.withColumnsRenamed({"a": "digest", "b": "leader"}), ["digest", "leader"], "left")
-        placed = placed.join(component.withColumnRenamed("node", "digest"), "digest", "left").select(
-            "key", "digest", "rank", "leader", F.coalesce("distance", F.lit(0.0)).alias("distance"), F.coalesce("component", "digest").alias("component")
-        )
-        several = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x <> y")
-        placed = materialise(placed.join(several.select("key"), "key"), "open")
-        if turn == LEADER_ROUNDS - 1 or placed.isEmpty():
-            break
-        # small bands are settled pair by pair at once
-        size = several.agg(F.max("n")).first()[0] or 0
-        if size <= 64:
-            break
-        leaders = placed.where("digest = leader").select("key", F.col("component").alias("done"))
-        rest = placed.join(leaders, "key").withColumn("rank", F.when(F.col("component") == F.col("done"), -F.lit(1)).otherwise(F.col("rank")))
-        open_rows = materialise(rest.select("key", "digest", "rank"), "turn")
-
-    one = placed.select("key", F.col("digest").alias("a"), F.col("distance").alias("da"), F.col("component").alias("ca"), "leader")
-    two = placed.select("key", F.col("digest").alias("b"), F.col("distance").alias("db"), F.col("component").alias("cb"))
-    apart = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (F.abs(F.col("da") - F.col("db")) <= limit)
-    apart = apart & (F.col("a") != F.col("leader")) & (F.col("b") != F.col("leader"))
-    left = materialise(one.join(two, "key").where(apart).select("a", "b").distinct(), "pairs")
+    top = members.groupBy("key").agg(F.max(F.struct("rank", "digest")).alias("top")).select("key", F.col("top.digest").alias("leader"))
+    pairs = members.join(top, "key").where("digest <> leader").select(F.col("digest").alias("a"), F.col("leader").alias("b")).distinct()
+    checked = materialise(_verified(pairs, texts, similarity), "checked")
+    links = checked.where(F.col("distance") <= limit).select("a", "b")
+    component = materialise(connected_components(links), "components")
+    left = materialise(_open_pairs(checked, component, similarity), "pairs")
     if not left.isEmpty():
-        near = _verified(left, texts).where(F.col("distance") <= limit).select("a", "b")
-        component = materialise(connected_components(links.unionByName(materialise(near, "near"))), "components")
+        more = materialise(_verified(left, texts).where(F.col("distance") <= limit).select("a", "b"), "links")
+        if not more.isEmpty():
+            component = materialise(connected_components(links.unionByName(more)), "components")
 
     grouped = classes.select("digest", "first").join(component.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
     firsts = grouped.groupBy("component").agg(F.min("first").alias("kept"))
