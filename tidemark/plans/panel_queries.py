@@ -136,7 +136,7 @@ ORACLE_SQL = {
     "within_between_corr": f"""WITH {_CORR} SELECT round(avg(raw_r) FILTER (split_part(a, '_', 1) = split_part(b, '_', 1)), 6) AS within_r, round(avg(raw_r) FILTER (split_part(a, '_', 1) <> split_part(b, '_', 1)), 6) AS between_r,
         count(raw_r) AS pairs, coalesce(min(raw_r) > 0.9, false) AS all_above_090 FROM corr""",
     "series_links": f"""WITH {_CORR}, both_ways AS (SELECT a, b, raw_r FROM corr UNION ALL SELECT b, a, raw_r FROM corr)
-        SELECT a AS series_id, round(avg(raw_r), 6) AS mean_r, (list(b ORDER BY raw_r DESC, b DESC))[1] AS closest, count(*) FILTER (raw_r >= 0.05) AS links FROM both_ways GROUP BY a""",
+        SELECT a AS series_id, round(avg(raw_r), 6) AS mean_r, (list(b ORDER BY raw_r DESC, b DESC) FILTER (raw_r IS NOT NULL))[1] AS closest, count(*) FILTER (raw_r >= 0.05) AS links FROM both_ways GROUP BY a""",
     "lagged_best_corr": f"""WITH {_GRID}, points AS (SELECT * FROM grid WHERE value IS NOT NULL), reach AS (SELECT CAST(least(60, greatest(3, floor(count(DISTINCT t) / 6))) AS INTEGER) AS l FROM grid),
         met AS (SELECT a.series_id AS a, b.series_id AS b, k AS lag, {_r('a.value', 'b.value')} AS r, count(*) AS n FROM points AS a CROSS JOIN (SELECT unnest(range(-l, l + 1)) AS k FROM reach) AS k
           JOIN points AS b ON b.t = a.t + k AND a.series_id < b.series_id GROUP BY ALL)
