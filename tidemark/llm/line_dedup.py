@@ -7,7 +7,9 @@ few substrings that a match allows; candidates are verified by a banded bit-para
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialise
@@ -16,10 +18,12 @@ from tidemark.llm.common import materialise
 THRESHOLD = 2
 #: Shorter lines are left alone: a few edits make another line of them.
 MIN_CHARS = 32
-#: Frequent characters that are counted for a cheap necessary condition of a match.
-COUNTED = "enatihs "
-#: Candidate lines whose hashes are broadcast to fetch their texts; more are joined by shuffling.
-BROADCAST_LINES = 200_000
+#: Lines that share a segment beyond this number are joined with more conditions than the segment.
+HOT_LINES = 24
+#: Keys (of 16 bytes) that are broadcast at most; more are joined by shuffling.
+BROADCAST_KEYS = 200_000
+#: Characters fall in 30 buckets; counts modulo 16 of 15 buckets fit a number.
+BUCKETS, NIBBLES = 30, (1 << 60) - 1
 
 
 def _row_key(doc_id: str, text: str) -> tuple[Column, Column]:
@@ -48,13 +52,13 @@ def _cuts(length: Column, tau: int) -> list[tuple[Column, Column]]:
     return out
 
 
-def index_keys(line: Column, tau: int = THRESHOLD) -> Column:
+def index_keys(line: Column, tau: int = THRESHOLD) -> list[Column]:
     """A hash for each segment, with its number and the line's length."""
     length = F.length(line)
-    return F.array(*[F.xxhash64(F.substring(line, start + 1, size), F.lit(i), length) for i, (start, size) in enumerate(_cuts(length, tau))])
+    return [F.xxhash64(F.substring(line, start + 1, size), F.lit(i), length) for i, (start, size) in enumerate(_cuts(length, tau))]
 
 
-def probe_keys(line: Column, tau: int = THRESHOLD) -> Column:
+def probe_keys(line: Column, tau: int = THRESHOLD) -> list[Column]:
     """Hashes of the substrings that can match a segment of a line up to ``tau`` shorter.
 
     A match of segment i needs at most i edits before it and tau - i after it (else another segment
@@ -67,26 +71,53 @@ def probe_keys(line: Column, tau: int = THRESHOLD) -> Column:
         for i, (start, size) in enumerate(_cuts(other, tau)):
             low, high = max(-i, less - (tau - i)), min(i, less + (tau - i))
             keys += [F.xxhash64(F.substring(line, start + move + 1, size), F.lit(i), other) for move in range(low, high + 1)]
-    return F.array(*keys)
+    return keys
 
 
 def char_counts(line: Column) -> Column:
-    """How often each of COUNTED occurs, modulo 64, seven bits each."""
-    total = F.lit(0).cast("long")
-    for k, c in enumerate(COUNTED):
-        total = total + F.shiftleft((F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))).cast("long") % 64, 7 * k)
-    return total
+    """lo and hi: how often characters of each bucket occur, modulo 16, four bits each."""
+
+    def add(acc: Column, c: Column) -> Column:
+        code = F.ascii(c) % BUCKETS
+        one = lambda low: F.when((code >= low) & (code < low + 15), F.call_function("shiftleft", F.lit(1).cast("long"), (code - low) * 4)).otherwise(F.lit(0).cast("long"))
+        return F.struct((acc["lo"] + one(0)).bitwiseAND(NIBBLES).alias("lo"), (acc["hi"] + one(15)).bitwiseAND(NIBBLES).alias("hi"))
+
+    zero = F.lit(0).cast("long")
+    return F.aggregate(F.split(line, ""), F.struct(zero.alias("lo"), zero.alias("hi")), add)
 
 
 def counts_apart(a: Column, b: Column) -> Column:
-    """The sum of the counts' differences, which no edit changes by more than two."""
+    """The sum of the differences of the counts, where small: an edit changes it by two at most.
+
+    Sums of counts differ by the counts' differences, whose balanced digits are read off.
+    """
+    middle = int("8" * 15, 16)
     total = F.lit(0).cast("long")
-    for k in range(len(COUNTED)):
-        d = F.abs(F.shiftright(a, 7 * k).bitwiseAND(63) - F.shiftright(b, 7 * k).bitwiseAND(63))
-        total = total + F.least(d, 64 - d)
+    for part in ("lo", "hi"):
+        moved = (a[part] - b[part] + middle).bitwiseAND(NIBBLES)
+        total = total + sum((F.abs(F.shiftright(moved, 4 * k).bitwiseAND(15) - 8) for k in range(15)), F.lit(0).cast("long"))
     return total
 
 
+def _ring(counts: Column, move: int) -> list[Column]:
+    """Quarters of the ring of counts that the buckets of e, n and t, moved so far, fall in."""
+    out = []
+    for c in "ent":
+        part, k = ("lo", ord(c) % BUCKETS) if ord(c) % BUCKETS < 15 else ("hi", ord(c) % BUCKETS - 15)
+        out.append(F.shiftright(F.pmod(F.shiftright(counts[part], 4 * k).bitwiseAND(15) + move, F.lit(16)), 2))
+    return out
+
+
+def index_cell(counts: Column) -> Column:
+    return F.xxhash64(*_ring(counts, 0))
+
+
+def probe_cells(counts: Column, tau: int) -> Column:
+    """Cells that a line within ``tau`` edits may lie in: at most two quarters of each ring."""
+    ends = [_ring(counts, -tau), _ring(counts, tau)]
+    return F.array_distinct(F.array(*[F.xxhash64(ends[i][0], ends[j][1], ends[k][2]) for i in (0, 1) for j in (0, 1) for k in (0, 1)]))
+
+
 def edit_distance(a: Column, b: Column, tau: int = THRESHOLD) -> Column:
     """Edit distance of two strings where it is at most ``tau``, some larger number elsewhere.
 
@@ -141,17 +172,57 @@ def _once(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def similar_lines(lines: DataFrame, *, tau: int = THRESHOLD) -> DataFrame:
+def _few(keys: DataFrame) -> DataFrame:
+    """``keys`` marked for broadcasting if a count says that they are few."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
+def _few(keys: DataFrame) -> DataFrame:
+    """``keys`` marked for broadcasting if a count says that they are few."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
+def _met(lines: DataFrame, tau: int) -> DataFrame:
+    """(a, b, key): pairs that share a segment, or with b null a line of a segment with more than HOT_LINES lines."""
+    line, n_index = F.col("line"), tau + 1
+    keys = [*index_keys(line, tau), *probe_keys(line, tau)]
+    names = [f"key{i}" for i in range(len(keys))]
+    # single numbers, not arrays: they are gathered by hashing, and both sides of the join read one shuffle
+    firsts = lines.select("h1", *[k.alias(n) for k, n in zip(keys, names, strict=True)]).groupBy("h1").agg(*[F.first(n).alias(n) for n in names])
+    distinct = firsts.select("h1", F.array(*names).alias("keys"))
+    same = Window.partitionBy("key")
+    index = distinct.select(F.explode(F.slice("keys", 1, n_index)).alias("key"), F.col("h1").alias("b")).withColumns({"n": F.count("*").over(same), "least": F.min("b").over(same)})
+    probe = distinct.select(F.explode(F.slice("keys", n_index + 1, len(names) - n_index)).alias("key"), F.col("h1").alias("a"))
+    hot = F.col("n") > HOT_LINES
+    joined = probe.join(index, "key").where(F.when(hot, F.col("b") == F.col("least")).otherwise(F.col("a") != F.col("b")))
+    pair = lambda f, c: F.when(hot, c).otherwise(f("a", "b"))
+    return joined.select(pair(F.least, F.col("a")).alias("a"), pair(F.greatest, F.lit(None)).alias("b"), F.when(hot, F.col("key")).alias("key")).distinct()
+
+
+def similar_lines(lines: DataFrame, fetch: Callable[[DataFrame], DataFrame], *, tau: int = THRESHOLD) -> DataFrame:
     """(a, b) of hashes h1 of different lines at most ``tau`` edits apart, each pair once.
 
-    ``lines`` has line and h1, as often as they occur; each task sends a line on once.
+    ``lines`` has line and h1, as often as they occur; ``fetch`` gives h1 and line for a table of hashes.
+    Pairs that share a segment are candidates if their counts of characters are close.  Where more than
+    HOT_LINES lines share a segment, near ones must also lie in neighbouring cells of their counts, and the
+    counts are compared within the join: a large group is dealt out, and its pairs are not listed.
     """
-    distinct = lines.groupBy("h1").agg(F.any_value("index").alias("index"), F.any_value("probe").alias("probe"), F.any_value("counts").alias("counts"))
-    index = distinct.select(F.explode("index").alias("key"), F.col("h1").alias("b"), F.col("counts").alias("counts_b"))
-    probe = distinct.select(F.explode("probe").alias("key"), F.col("h1").alias("a"), F.col("counts").alias("counts_a"))
-    near = (F.col("a") != F.col("b")) & (counts_apart(F.col("counts_a"), F.col("counts_b")) <= 2 * tau)
-    pairs = probe.alias("p").join(index.alias("i"), (F.col("p.key") == F.col("i.key")) & near)
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    if tau > 7:
+        raise ValueError("character counts tell at most 7 edits apart")
+    met = materialise(_met(lines, tau), "line-segments")
+    wanted = materialise(met.select(F.explode(F.array("a", "b")).alias("h1")).where("h1 IS NOT NULL").distinct(), "line-candidates")
+    texts = materialise(fetch(wanted).groupBy("h1").agg(F.any_value("line").alias("line")).withColumn("counts", char_counts(F.col("line"))), "line-texts")
+
+    side = lambda c: texts.select(F.col("h1").alias(c), F.col("line").alias(f"line_{c}"), F.col("counts").alias(f"counts_{c}"))
+    close = counts_apart(F.col("counts_a"), F.col("counts_b")) <= 2 * tau
+    hot = met.where("key IS NOT NULL").select("key", "a").join(side("a"), "a")
+    own = F.array_contains(F.array(*index_keys(F.col("line_a"), tau)), F.col("key"))
+    index = hot.where(own).select("key", F.col("a").alias("b"), F.col("counts_a").alias("counts_b"), index_cell(F.col("counts_a")).alias("cell"))
+    probe = hot.select("key", "a", "counts_a", F.explode(probe_cells(F.col("counts_a"), tau)).alias("cell"))
+    crowded = probe.alias("p").join(index.alias("i"), (F.col("p.key") == F.col("i.key")) & (F.col("p.cell") == F.col("i.cell")) & (F.col("a") != F.col("b")) & close)
+    pairs = met.where("key IS NULL").select("a", "b").unionByName(crowded.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
+    checked = pairs.join(side("a"), "a").join(side("b"), "b").where(close)
+    return checked.where(edit_distance(F.col("line_a"), F.col("line_b"), tau) <= tau).select("a", "b")
 
 
 def duplicate_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", tau: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -163,19 +234,16 @@ def duplicate_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     lines = lines_of(docs, doc_id=doc_id, text=text, min_chars=min_chars)
     where = F.struct("doc_id", "k1", "k2", "pos")
     places = materialise(lines.select("k1", "k2", "doc_id", "pos", "h1", "h2"), "lines")
-    classes = places.groupBy("h1", "h2").agg(F.min(where).alias("first"))
-
-    line = F.col("line")
-    keyed = lines.select("h1", index_keys(line, tau).alias("index"), probe_keys(line, tau).alias("probe"), char_counts(line).alias("counts"))
-    pairs = materialise(similar_lines(keyed, tau=tau), "line-pairs")
-    wanted = pairs.select(F.col("a").alias("h1")).unionByName(pairs.select(F.col("b").alias("h1"))).distinct()
-    few = wanted.count() <= BROADCAST_LINES
-    texts = materialise(
-        lines.select("h1", "line").join(F.broadcast(wanted) if few else wanted, "h1").groupBy("h1").agg(F.any_value("line").alias("line")), "line-texts"
-    )
-    side = lambda c: texts.select(F.col("h1").alias(c), F.col("line").alias(f"line_{c}"))
-    linked = pairs.join(side("a"), "a").join(side("b"), "b").where(edit_distance(F.col("line_a"), F.col("line_b"), tau) <= tau).select("a", "b")
+    classes = materialise(places.groupBy("h1", "h2").agg(F.min(where).alias("first")), "line-classes")
+
+    def fetch(wanted: DataFrame) -> DataFrame:
+        # only documents with the first of such a line are split again
+        spots = materialise(classes.join(_few(wanted), "h1").select("first.k1", "first.k2").distinct(), "line-spots")
+        k1, k2 = _row_key(doc_id, text)
+        keyed = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), k1, k2).join(_few(spots), ["k1", "k2"], "left_semi")
+        return lines_of(keyed, min_chars=min_chars).join(_few(wanted), "h1", "left_semi").select("h1", "line")
 
+    linked = similar_lines(lines.select("h1", "line"), fetch, tau=tau)
     first = classes.groupBy("h1").agg(F.min("first").alias("first"))
     at = lambda c: first.select(F.col("h1").alias(c), F.col("first").alias(f"first_{c}"))
     later = linked.join(at("a"), "a").join(at("b"), "b").select(F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a")).alias("h1"))
