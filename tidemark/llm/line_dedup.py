@@ -262,22 +262,23 @@ def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     other columns are carried, those named like a new one replaced.
     """
     gone = duplicate_lines(docs, doc_id=doc_id, text=text, tau=tau, min_chars=min_chars)
-    by_doc = gone.groupBy(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).agg(
-        F.collect_list("pos").alias("__gone"), F.count_if(F.col("kind") == "exact").alias("__exact"), F.count_if(F.col("kind") == "near").alias("__near")
+    by_doc = gone.groupBy("k1", "k2").agg(
+        F.collect_list("pos").alias("gone"), F.count_if(F.col("kind") == "exact").alias("exact"), F.count_if(F.col("kind") == "near").alias("near")
     )
-    k1, k2 = _row_key(doc_id, text)
-    joined = docs.withColumns({"__k1": k1, "__k2": k2}).join(by_doc, ["__k1", "__k2"], "left")
-    lines = F.split(text, "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "__gone")
+    # the row travels as one value, so that no column of it can clash
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    joined = docs.select(row, *_row_key(doc_id, text)).join(by_doc, ["k1", "k2"], "left")
+    body = F.col("row")[text]
+    lines = F.split(body, "\n")
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone")
     rest = _once(lines, lambda parts: F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n"))
-    return joined.withColumns(
-        {
-            "n_lines": F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).cast("long"),
-            "n_exact": F.coalesce("__exact", F.lit(0)).cast("long"),
-            "n_near": F.coalesce("__near", F.lit(0)).cast("long"),
-            text: F.when(F.col("__gone").isNull(), F.col(text)).otherwise(rest),
-        }
-    ).drop("__k1", "__k2", "__gone", "__exact", "__near")
+    new = {
+        "n_lines": F.when(body.isNull(), 0).otherwise(F.size(lines)).cast("long"),
+        "n_exact": F.coalesce("exact", F.lit(0)).cast("long"),
+        "n_near": F.coalesce("near", F.lit(0)).cast("long"),
+    }
+    old = {c: F.when(F.col("gone").isNull(), body).otherwise(rest) if c == text else F.col("row")[c] for c in docs.columns if c not in new}
+    return joined.select(*[v.alias(n) for n, v in (old | new).items()])
 
 
 def line_report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", tau: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:

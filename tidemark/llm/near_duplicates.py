@@ -288,7 +288,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 def drop_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """The documents without all but one of each group; the columns are those of ``docs``."""
     flags = near_duplicates(docs, doc_id=doc_id, text=text, similarity=similarity)
-    kept = flags.where("keep").groupBy("k1", "k2").agg(F.min(F.struct(F.col("group_id").isNull(), "group_id")).alias("g")).select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"))
-    k1, k2 = _row_key(doc_id, text)
-    keyed = docs.withColumns({"__k1": F.xxhash64(doc_id, text), "__k2": F.hash(text, doc_id)})
-    return keyed.join(kept, ["__k1", "__k2"]).dropDuplicates(["__k1", "__k2"]).select(*docs.columns)
+    kept = flags.where("keep").select("k1", "k2").distinct()
+    # the row travels as one value, so that no column of it can clash
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return docs.select(row, *_row_key(doc_id, text)).join(kept, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("row.*")

@@ -168,14 +168,14 @@ class Plan:
     def _pair(self, room: int, used: Counter) -> tuple[int, int]:
         """Two pieces, the longer one first, with the largest sum that fits ``room``."""
         best = (0, 0)
-        low, high = 0, bisect.bisect_right(self.lengths, room) - 1
+        there = [n for n in self.lengths[: bisect.bisect_right(self.lengths, room)] if self.left[n] > used[n]]
+        low, high = 0, len(there) - 1
         while low <= high:
-            a, b = self.lengths[low], self.lengths[high]
+            a, b = there[low], there[high]
             if a + b > room:
                 high -= 1
                 continue
-            there = self.left[a] - used[a] >= 1 + (low == high) and self.left[b] - used[b] >= 1
-            if there and a + b > sum(best):
+            if a + b > sum(best) and (low < high or self.left[a] - used[a] > 1):
                 best = (b, a)
             low += 1
         return best
