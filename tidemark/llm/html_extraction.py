@@ -54,6 +54,8 @@ KEYWORDS = frozenset(
     tab tags text thread title toast toolbar top topbar trending user utility wrap wrapper article widget widgets""".split()
 )
 
+SENTENCE_ENDS = frozenset(".!?:;\"'”»…")
+
 _MARK = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>",
     re.DOTALL,
@@ -180,6 +182,7 @@ def node_features(tree: Tree) -> list[list[str]]:
             blocks[p] += blocks[i]
     found = []
     near = ["page"] * n  # the closest sectioning element
+    kind = "article" if "article" in tree.tag else "main" if "main" in tree.tag else "other"
     for i in range(n):
         near[i] = tree.tag[i] if tree.tag[i] in SECTIONS else near[tree.parent[i]] if i else "page"
         share = int(4 * linked[i] / size[i] + 0.5) if size[i] else -1
@@ -188,8 +191,8 @@ def node_features(tree: Tree) -> list[list[str]]:
             words = t.count(" ") + 1
             found.append(
                 [
-                    "text", f"text under {near[i]}", f"words {_bucket(words)}", f"linked {share}", f"words {_bucket(words) // 2} linked {share}", f"in {tag}",
-                    *(["sentence"] if t[-1] in ".!?:;\"'”»…" else []), *(["legal"] if "©" in t or "(c)" in t.lower() else []),
+                    "text", f"text under {near[i]}", f"text under {near[i]} in {kind}", f"words {_bucket(words)}", f"linked {share}", f"words {_bucket(words) // 2} linked {share}", f"in {tag}",
+                    f"{'sentence' if t[-1] in SENTENCE_ENDS else 'open'} {_bucket(words) // 2}", *(["legal"] if "©" in t or "(c)" in t.lower() else []),
                     *(["bars"] if t.count("|") + t.count("·") + t.count("»") > words / 4 else []),
                 ]
             )
@@ -201,7 +204,7 @@ def node_features(tree: Tree) -> list[list[str]]:
         mean = size[i] / blocks[i] if blocks[i] else 0
         found.append(
             [
-                "element", f"under {near[i]}", f"tag {tree.tag[i]}", f"block {_bucket(mean)}", f"block linked {share}", f"block {_bucket(mean) // 2} linked {share}",
+                "element", f"{tree.tag[i]} in {tree.tag[tree.parent[i]] if i else 'nothing'}", f"under {near[i]}", f"under {near[i]} in {kind}", f"of all {int(8 * size[i] / max(size[0], 1))}", f"tag {tree.tag[i]}", f"block {_bucket(mean)}", f"block linked {share}", f"block {_bucket(mean) // 2} linked {share}",
                 *(f"key {k}" for k in sorted(keys)), *(["hidden"] if hidden else []), *(["unnamed"] if not named.strip() else []),
             ]
         )
@@ -237,16 +240,19 @@ def _log_add(x: float, y: float) -> float:
     return max(x, y) + math.log1p(math.exp(-abs(x - y)))
 
 
-def fit(pages: list[str], *, steps: int = 150, rate: float = 0.1, l2: float = 2e-3) -> DomModel:
-    """Maximum likelihood on pages whose elements carry data-y="1" (content) or "0"; others inherit, outermost 0."""
+def fit(pages: list[str], *, steps: int = 300, rate: float = 0.15, l2: float = 2e-4) -> DomModel:
+    """Maximum likelihood on pages whose elements carry data-y="1" (content) or "0"; others inherit, outermost 0.
+
+    A page without any mark is all content.
+    """
     names: dict[str, int] = {}
     parent, label, kind, depth, rows, cols = [], [], [], [], [], []
     for page in pages:
-        tree, base = parse(page), len(parent)
+        tree, base, outermost = parse(page), len(parent), int("data-y" not in page)
         for i, fs in enumerate(node_features(tree)):
             p = tree.parent[i]
             parent.append(base + p if p >= 0 else -1)
-            label.append(int(tree.attrs[i].get("data-y", label[base + p] if p >= 0 else 0)))
+            label.append(int(tree.attrs[i].get("data-y", label[base + p] if p >= 0 else outermost)))
             depth.append(depth[base + p] + 1 if p >= 0 else 0)
             kind.append(int(tree.text[i] is not None))
             for f in fs:
@@ -266,7 +272,7 @@ def fit(pages: list[str], *, steps: int = 150, rate: float = 0.1, l2: float = 2e
         for at in reversed(levels):
             t = pot[kind[at]]
             sent[at] = np.logaddexp(t[:, 1, 0], t[:, 1, 1] + up[at]) - np.logaddexp(t[:, 0, 0], t[:, 0, 1] + up[at])
-            np.add.at(up, parent[at], sent[at])
+            up += np.bincount(parent[at], sent[at], len(parent))
         odds = up.copy()
         for at in levels:
             t, above = pot[kind[at]], odds[parent[at]] - sent[at]
@@ -313,6 +319,11 @@ class PageMaker:
     def prose(self, low: int = 1, high: int = 6) -> str:
         return " ".join(self.words(1, 18).capitalize() + self.r.choice("...!?") for _ in range(self.r.randint(low, high)))
 
+    def paragraph(self) -> str:
+        """Mostly a few sentences; some are long, some have no sentence marks at all."""
+        k = self.r.random()
+        return self.prose() if k < 0.8 else self.prose(8, 40) if k < 0.87 else self.words(1, 30) if k < 0.94 else self.words(60, 400)
+
     def link(self, text: str) -> str:
         return f'<a href="/{self.word()}">{text}</a>'
 
@@ -336,17 +347,18 @@ class PageMaker:
         elif kind == "footer":
             inner = r.choice([f"&copy; {self.words(1, 3)} &middot; {self.prose(1, 2)}", f"<p>&copy; 2024 {self.words(1, 4)}.</p>", f"<p>{self.prose(1, 3)}</p><ul>{self.entries(2, 6)}</ul>", f"{self.prose(1, 2)}"])
         elif kind == "aside":
-            inner = f"<h{r.randint(2, 4)}>{self.words(1, 3)}</h{r.randint(2, 4)}>" * r.randint(0, 1) + r.choice([f"<ul>{self.entries(2, 8)}</ul>", f"<p>{self.prose(1, 3)}</p>", "".join(f"<div>{self.link(self.words(3, 8))}<p>{self.words(5, 14)}</p></div>" for _ in range(r.randint(1, 4)))])
+            head = f"<h{(n := r.randint(2, 4))}>{self.words(1, 3)}</h{n}>" * r.randint(0, 1)
+            inner = head + r.choice([f"<ul>{self.entries(2, 8)}</ul>", f"<p>{self.prose(1, 3)}</p>", f"<p>{self.prose(2, 6)}</p>" * r.randint(1, 3), "".join(f"<div>{self.link(self.words(3, 8))}<p>{self.words(5, 14)}</p></div>" for _ in range(r.randint(1, 4)))])
         elif kind == "notice":
-            inner = r.choice([f"<p>{self.prose(1, 3)}</p><button>{self.word()}</button>", f"{self.prose(1, 2)} {self.link(self.word())}", self.prose(1, 2)])
+            inner = r.choice([f"<p>{self.prose(2, 5)}</p>", f"<p>{self.prose(1, 3)}</p><button>{self.word()}</button>", f"{self.prose(1, 2)} {self.link(self.word())}", self.prose(1, 2)])
         elif kind == "ad":
-            inner = r.choice([self.prose(1, 4), self.link(self.words(3, 9)), f"{self.words(2, 6)} {self.link(self.words(1, 3))}", self.prose(1, 3).replace(". ", ".\n")])
+            inner = r.choice([self.prose(1, 4), f"<p>{self.prose(1, 4)}</p>", self.link(self.words(3, 9)), f"{self.words(2, 6)} {self.link(self.words(1, 3))}", self.prose(1, 3).replace(". ", ".\n")])
         elif kind == "form":
-            inner = f"<label>{self.words(1, 3)}</label><input name='q'>" + r.choice(["", f"<p>{self.prose(1, 2)}</p>", f"<h3>{self.words(2, 5)}</h3>"]) + f"<button>{self.word()}</button>"
+            inner = f"<label>{self.words(1, 3)}</label><input name='q'>" + r.choice(["", f"<p>{self.prose(1, 2)}</p>", f"<p>{self.prose(1, 3)}</p>", f"<h3>{self.words(2, 5)}</h3>"]) + f"<button>{self.word()}</button>"
         elif kind == "comments":
             item = r.choice(["li", "div", "article"])
-            one = lambda: self.wrap(item, f"<b>{self.word()}</b> " * r.randint(0, 1) + r.choice([f"<p>{self.prose(1, 4)}</p>", self.prose(1, 3)]), ["comment", "reply", "comment-body", "user-comment"])
-            inner = f"<h3>{self.words(1, 3)}</h3>" * r.randint(0, 1) + "".join(one() for _ in range(r.randint(1, 5)))
+            one = lambda: self.wrap(item, f"<b>{self.word()}</b> " * r.randint(0, 1) + r.choice([f"<p>{self.prose(1, 4)}</p>", f"<p>{self.prose(2, 7)}</p>", self.prose(1, 3)]), ["comment", "reply", "comment-body", "user-comment"])
+            inner = f"<h3>{self.words(1, 3)}</h3>" * r.randint(0, 1) + ("".join(one() for _ in range(r.randint(1, 5))) if r.random() < 0.8 else f"<p>{self.prose(1, 6)}</p>" * r.randint(1, 3))
         else:
             inner = " ".join(self.link(self.words(1, 2)) for _ in range(r.randint(1, 5)))
         return self.wrap(tag, inner, self.JUNK[kind], 0)
@@ -356,8 +368,10 @@ class PageMaker:
         for _ in range(r.choice([0, 1, 2, 4, 6, 10])):
             k = r.random()
             open_b = r.choice(["", "", "<b>", "<em>"])
-            if k < 0.62:
-                parts.append(f"<p>{open_b}{self.prose()}{'<br>' * r.randint(0, 1)}" + ("</p>" if r.random() < 0.8 else ""))
+            if k < 0.05:
+                parts.append(f"<div>{self.paragraph()}{'<br>' + self.prose() * r.randint(0, 1)}</div>")
+            elif k < 0.62:
+                parts.append(f"<p>{open_b}{self.paragraph()}{'<br>' * r.randint(0, 1)}" + ("</p>" if r.random() < 0.8 else ""))
             elif k < 0.68:
                 parts.append(f"<p>{self.prose(1, 3)} {self.link(self.words(1, 4))} {self.prose(1, 2)}</p>")
             elif k < 0.74:
@@ -378,7 +392,7 @@ class PageMaker:
             elif k < 0.96:
                 parts.append(f"<p>{' | '.join(self.words(1, 1) for _ in range(r.randint(6, 40)))}</p>")
             else:
-                parts.append(self.junk(r.choice(["ad", "ad", "share", "form", "aside", "notice"])))
+                parts.append(self.junk(r.choice(["ad", "ad", "share", "form", "form", "aside", "notice", "comments"])))
         title = f"<h1>{self.words(1, 12)}{r.choice(['', '.'])}</h1>" if r.random() < 0.85 or not parts else ""
         if title and r.random() < 0.15:
             title = f"<header>{title}</header>"
@@ -388,26 +402,44 @@ class PageMaker:
     def page(self) -> str:
         r = self.r
         some = lambda kind, p: self.junk(kind) if r.random() < p else ""
-        tag = r.choice(["article", "article", "article", "main", "div", "div", "section"])
-        main = f'<article data-y="1">{self.content()}</article>' if tag == "article" and r.random() < 0.6 else self.wrap(tag, self.content(), self.CONTENT, 1)
+        if r.random() < 0.05:  # a bare text without any layout, which is all content
+            bare = r.choice([self.prose(2, 9), "".join(f"<p>{self.paragraph()}</p>" for _ in range(r.randint(1, 6))), f"<h1>{self.words(2, 7)}</h1>" + "".join(f"<p>{self.prose(1, 6)}</p>" for _ in range(r.randint(1, 6)))])
+            return r.choice(["{}", "<div>{}</div>", "<html><body>{}</body></html>", "<html><head><title>x</title></head><body>{}</body></html>"]).format(bare)
+        tag = r.choice(["article", "article", "article", "main", "div", "div", "section", "td"])
+        if tag == "article" and r.random() < 0.6:
+            main = f'<article data-y="1">{self.content()}</article>'
+        elif tag == "td":
+            menu = " ".join(self.link(self.words(1, 2)) + r.choice(["", "<br>"]) for _ in range(r.randint(2, 8)))
+            main = f'<table><tr>{self.wrap("td", menu, self.JUNK["nav"], 0)}{self.wrap("td", self.content(), self.CONTENT, 1)}</tr></table>'
+        elif r.random() < 0.25:  # names that say nothing
+            inner = self.content()
+            for _ in range(r.randint(0, 2)):
+                inner = f'<div class="{self.word()}">{inner}</div>'
+            main = f'<{tag} class="{self.word()}" data-y="1">{inner}</{tag}>'
+        else:
+            main = self.wrap(tag, self.content(), self.CONTENT, 1)
         for _ in range(r.choice([0, 0, 1, 2])):
             main = self.wrap(r.choice(["div", "main", "section"]), some("ad", 0.1) + some("aside", 0.15) + main + some("comments", 0.25) + some("aside", 0.2), ["wrap", "container", "main", "layout", "page", "row", "inner", "grid", "content", "column"])
         before = some("notice", 0.3) + some("header", 0.4) + some("nav", 0.7) + some("form", 0.12) + some("ad", 0.45) + some("notice", 0.1)
         after = some("comments", 0.2) + some("ad", 0.15) + some("aside", 0.25) + some("form", 0.15) + some("notice", 0.1) + some("footer", 0.85)
-        return f"<!DOCTYPE html><html><head><title>{self.words(2, 6)}</title><script>x('</p>')</script></head><body>{before}<!-- {self.word()} -->{main}{after}</body></html>"
+        head = f"<!DOCTYPE html><html><head><title>{self.words(2, 6)}</title><script>x('</p>')</script></head>" if r.random() < 0.85 else ""
+        return f"{head}<body>{before}<!-- {self.word()} -->{main}{after}</body></html>"
 
 
 @lru_cache(maxsize=1)
-def default_model(pages: int = 700, seed: int = 11) -> DomModel:
+def default_model(pages: int = 1500, seed: int = 11) -> DomModel:
     """Fitted on ``PageMaker`` pages: the corpus has no labelled ones."""
     maker = PageMaker(seed)
     return fit([maker.page() for _ in range(pages)])
 
 
-def main_text(page: str, model: DomModel, threshold: float = 0.5) -> str:
+def main_text(page: str, model: DomModel, threshold: float = 0.5, least: float = 0.05) -> str:
+    """Blocks whose marginal reaches ``threshold``; where none does, those of half the highest and ``least``."""
     tree = parse(page)
-    kept = (t for t, p in zip(tree.text, model.marginals(tree), strict=True) if t is not None and p >= threshold)
-    return "\n\n".join(kept)
+    blocks = [(t, p) for t, p in zip(tree.text, model.marginals(tree), strict=True) if t is not None]
+    top = max((p for _, p in blocks), default=0.0)
+    cut = threshold if top >= threshold else max(least, top / 2)
+    return "\n\n".join(t for t, p in blocks if p >= cut)
 
 
 def extract(pages: DataFrame, model: DomModel | None = None, *, html_column: str = "html", threshold: float = 0.5, keep: list[str] | None = None) -> DataFrame:
