@@ -5,9 +5,9 @@ from __future__ import annotations
 import pytest
 from oracle import connection, same
 
-from tidemark.plans import corpus_queries, kernel_queries, panel_queries
+from tidemark.plans import audit_queries, corpus_queries, kernel_queries, panel_queries
 
-PLANS = [panel_queries, corpus_queries, kernel_queries]
+PLANS = [panel_queries, corpus_queries, kernel_queries, audit_queries]
 QUERIES = {n: q for p in PLANS for n, q in p.QUERIES.items()}
 SQL = {n: q for p in PLANS for n, q in p.ORACLE_SQL.items()}
 

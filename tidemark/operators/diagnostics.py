@@ -175,3 +175,28 @@ def breach_runs(series: DataFrame, limit: Column, least: int = 3) -> DataFrame:
     """Runs of at least ``least`` consecutive steps beyond ``limit``: start, length."""
     hit = series.where(limit).withColumn("run", F.col("t") - F.row_number().over(_order()))
     return hit.groupBy("series_id", "run").agg(F.min("t").alias("start"), F.count("*").alias("length")).where(F.col("length") >= least).drop("run")
+
+
+def model_tradeoff(filled: DataFrame, window: int = 72) -> DataFrame:
+    """Errors of two simple forecasts (the step before, the day before) by window: their means and variances, and the better one."""
+    lagged = filled.withColumns({"a": F.lag("value", 1).over(_order()), "b": F.lag("value", 24).over(_order())}).where("b IS NOT NULL")
+    by = lagged.groupBy("series_id", F.floor(F.col("t") / window).cast("int").alias("w")).agg(F.avg(F.abs(F.col("value") - F.col("a"))).alias("ea"), F.avg(F.abs(F.col("value") - F.col("b"))).alias("eb"))
+    return by.groupBy("series_id").agg(
+        F.count("*").alias("windows"), r6(F.avg("ea")).alias("mae_last"), r6(F.avg("eb")).alias("mae_day"), r6(F.var_pop("ea")).alias("var_last"), r6(F.var_pop("eb")).alias("var_day"),
+        F.count_if(F.col("ea") < F.col("eb")).alias("last_wins"),
+    )
+
+
+def residual_spread(rows: DataFrame, bins: int = 8) -> DataFrame:
+    """Variance of residuals by bins of the predicted value, cut at its quantiles."""
+    cuts = rows.agg(F.percentile("predicted", F.array(*[F.lit(k / bins) for k in range(1, bins)])).alias("cuts"))
+    binned = rows.join(F.broadcast(cuts)).withColumn("bin", F.size(F.filter("cuts", lambda c: c < F.col("predicted"))))
+    e = F.col("actual") - F.col("predicted")
+    return binned.groupBy("bin").agg(F.count("*").alias("n"), F.round(F.avg(e), 4).alias("bias"), F.round(F.stddev_pop(e), 4).alias("spread"))
+
+
+def intermittency(points: DataFrame) -> DataFrame:
+    """Points, share of small values and mean steps between the others, by series (for demand that comes and goes)."""
+    order = Window.partitionBy("series_id").orderBy("t")
+    on = points.where("NOT small").withColumn("gap", F.col("t") - F.lag("t").over(order)).groupBy("series_id").agg(r6(F.avg("gap")).alias("mean_gap"), F.max("gap").alias("max_gap"))
+    return points.groupBy("series_id").agg(F.count("*").alias("n"), r6(F.avg(F.col("small").cast("int"))).alias("small_share")).join(on, "series_id", "left")

@@ -102,3 +102,27 @@ def components_at(pairs: DataFrame, threshold: float, r: str = "raw_r") -> DataF
     both = pairs.select("a", "b", r).unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), r))
     best = F.max(F.when(F.col(r).isNotNull(), F.struct(F.col(r), F.col("b"))))
     return both.groupBy(F.col("a").alias("series_id")).agg(r6(F.avg(r)).alias("mean_r"), best["b"].alias("closest"), F.count_if(F.col(r) >= threshold).alias("links"))
+
+
+def relation_gate(pairs: DataFrame, *, least_r: float = 0.35, least_overlap: int = 48) -> DataFrame:
+    """For each pair the reasons that keep it from counting as related; none means it passes."""
+    reasons = [
+        ("few_points", F.col("overlap") < least_overlap),
+        ("undefined", F.col("raw_r").isNull()),
+        ("weak", F.abs("raw_r") < least_r),
+        ("only_trend", (F.abs("raw_r") >= least_r) & (F.abs("detrended_r") < least_r / 2)),
+        ("opposite_steps", F.signum("raw_r") * F.signum("diff_r") < 0),
+    ]
+    return pairs.select("a", "b", F.array_join(F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in reasons])), ",").alias("reasons"))
+
+
+def series_separation(pairs: DataFrame, odd: str, r: str = "raw_r") -> DataFrame:
+    """Mean r among the other series, and between them and the series ``odd``."""
+    touches = (F.col("a") == odd) | (F.col("b") == odd)
+    return pairs.agg(r6(F.avg(F.when(~touches, F.col(r)))).alias("among"), r6(F.avg(F.when(touches, F.col(r)))).alias("between"), F.count_if(touches).alias("n_between"))
+
+
+def segment_correlation(filled: DataFrame, reference: str, length: int = 24) -> DataFrame:
+    """r of each series with ``reference`` in each segment of ``length`` steps."""
+    ref = filled.where(F.col("series_id") == reference).select("t", F.col("value").alias("ref"))
+    return filled.where(F.col("series_id") != reference).join(ref, "t").groupBy("series_id", F.floor(F.col("t") / length).cast("int").alias("segment")).agg(r6(safe_corr("value", "ref")).alias("r"))
