@@ -169,3 +169,32 @@ def test_tools_take_an_empty_panel(spark):
     with pytest.raises(KeyError):
         run_tool("nothing", empty)
     assert len(TOOLS) >= 30
+
+
+def test_csv_with_embedded_json_and_file_hashes(spark, tmp_path):
+    import hashlib
+
+    (tmp_path / "qa.csv").write_text('id,qa\n1,"""question"": ""q1"",\n ""answer"": ""[1, 2.5]"""\n2,"{""question"": ""q2"", ""answer"": ""none""}"\n')
+    rows = records.read_csv_records(spark, str(tmp_path / "qa.csv"), "id int, qa string")
+    pair = records.embedded_pairs(F.col("qa"))
+    got = {r.id: (r.q, r.s) for r in rows.select("id", pair["question"].alias("q"), records.first_series(F.concat(pair["answer"], F.lit(" [1, 2, 3, 4]"))).alias("s")).collect()}
+    assert got == {1: ("q1", [1.0, 2.5]), 2: ("q2", [1.0, 2.0, 3.0, 4.0])}
+    there = tmp_path / "files"
+    there.mkdir()
+    (there / "a.bin").write_bytes(b"abc")
+    (there / "b.bin").write_bytes(b"changed")
+    want = spark.createDataFrame([("a.bin", hashlib.sha256(b"abc").hexdigest()), ("b.bin", "0"), ("c.bin", "0")], "name string, sha256 string")
+    assert {r.name: (r.exists, r.intact) for r in records.verify_files(want, str(there)).collect()} == {"a.bin": (True, True), "b.bin": (True, False), "c.bin": (False, False)}
+
+
+def test_judged_choice(spark):
+    columns = "g int, index int, total double, mark1 int, mark2 int, mark3 int, mark4 int, mark5 int, failures int, calls int, tokens int"
+    rows = [(1, 0, 20.0, None, None, None, None, None, 0, 1, 1), (1, 1, None, 5, 4, 4, 4, 4, 0, 1, 1), (2, 0, None, 5, 5, 5, 5, None, 0, 9, 1), (2, 1, 1.0, 1, 1, 1, 1, 1, 0, 2, 1), (3, 0, 9.0, 1, 1, 1, 1, 1, 1, 2, 1), (3, 1, 9.0, 1, 1, 1, 1, 1, 0, 2, 1)]
+    got = {r.g: (r.winner, r.reason) for r in review.judged_choice(spark.createDataFrame(rows, columns), "g").collect()}
+    assert got == {1: (1, "judge"), 2: (1, "tie_break"), 3: (1, "judge")}
+
+
+def test_grid_of_an_empty_panel(spark):
+    assert panel.full_grid(grid(spark, [])).count() == 0
+    two = panel.full_grid(grid(spark, [("a", 1, 1.0), ("b", 3, 2.0)]))
+    assert two.count() == 6 and two.where("value IS NULL").count() == 4

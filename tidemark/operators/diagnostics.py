@@ -200,3 +200,22 @@ def intermittency(points: DataFrame) -> DataFrame:
     order = Window.partitionBy("series_id").orderBy("t")
     on = points.where("NOT small").withColumn("gap", F.col("t") - F.lag("t").over(order)).groupBy("series_id").agg(r6(F.avg("gap")).alias("mean_gap"), F.max("gap").alias("max_gap"))
     return points.groupBy("series_id").agg(F.count("*").alias("n"), r6(F.avg(F.col("small").cast("int"))).alias("small_share")).join(on, "series_id", "left")
+
+
+def circular_lag(filled: DataFrame, lag: int) -> DataFrame:
+    """Values ``lag`` steps earlier, the start taken from the end of the series."""
+    at = filled.withColumns({"i": F.row_number().over(_order()) - 1, "n": F.count("*").over(_series())})
+    moved = at.select("series_id", F.pmod(F.col("i") + lag, F.col("n")).alias("i"), F.col("value").alias("lagged"))
+    return at.join(moved, ["series_id", "i"]).select("series_id", "t", r6("lagged").alias("lagged"))
+
+
+def training_review(curves: DataFrame) -> DataFrame:
+    """For each run the step of the least validation loss, the gap at the end and how often validation turned."""
+    order = Window.partitionBy("run").orderBy("step")
+    d = F.col("validation") - F.lag("validation").over(order)
+    turned = curves.withColumn("d", d).withColumn("turn", F.signum("d") != F.signum(F.lag("d").over(order)))
+    last = F.max(F.struct("step", "train", "validation"))
+    return turned.groupBy("run").agg(
+        F.min(F.struct(r6("validation").alias("v"), "step"))["step"].alias("best_step"), r6(last["validation"] - last["train"]).alias("final_gap"),
+        F.count_if(F.col("turn")).alias("turns"), F.max("step").alias("last_step"),
+    )

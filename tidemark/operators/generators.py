@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.hashing import stable_hash, unit_interval
 from tidemark.session import ship_package
 
 TRENDS = ("none", "linear", "quadratic", "saturating", "piecewise", "local_reversal", "random_walk")
@@ -105,3 +106,28 @@ def inject_defects(panel: DataFrame, every: int = 40) -> DataFrame:
     kind = F.when(gap, "gap").when(spike, "spike").when(shift, "shift").otherwise("none")
     value = F.when(gap, F.lit(None)).when(spike, F.col("value") * 3).when(shift, F.col("value") + 10).otherwise(F.col("value"))
     return panel.select("series_id", "t", kind.alias("kind"), value.alias("value"))
+
+
+def training_curves(spark: SparkSession, runs: int, steps: int = 60) -> DataFrame:
+    """Loss curves of runs that fit well, overfit from some step on, underfit or oscillate, by run number."""
+    rows = spark.range(runs).select(F.col("id").cast("int").alias("run"), F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("step"))
+    kind = F.element_at(F.array(*[F.lit(k) for k in ("good", "overfit", "underfit", "oscillating")]), F.col("run") % 4 + 1)
+    x = F.col("step") / steps
+    onset = 0.48 + 0.02 * (F.col("run") % 11)
+    base = F.when(kind == "underfit", 0.9 - 0.2 * x).otherwise(0.1 + F.exp(-4 * x))
+    extra = F.when(kind == "overfit", F.greatest(F.lit(0.0), x - onset) * 0.8).when(kind == "oscillating", 0.08 * F.sin(12 * x * np.pi)).otherwise(0.02)
+    return rows.select("run", "step", kind.alias("kind"), base.alias("train"), (base + extra).alias("validation"))
+
+
+def intermittent_demand(spark: SparkSession, series: int, length: int = 120, share: float = 0.3) -> DataFrame:
+    """Demand that is zero but for about ``share`` of the steps, drawn from a hash so that it never changes."""
+    rows = spark.range(series).select(F.concat(F.lit("d"), F.col("id")).alias("series_id"), F.explode(F.sequence(F.lit(0), F.lit(length - 1))).alias("t"))
+    u = unit_interval(stable_hash("demand", F.col("series_id"), F.col("t")))
+    return rows.select("series_id", "t", F.when(u < share, F.round(1 + 20 * u / share, 6)).otherwise(0.0).alias("value"))
+
+
+def drift_ramp(panel: DataFrame, start: float = 0.6, rise: float = 8.0) -> DataFrame:
+    """A rise from 0 at ``start`` of a series' length to ``rise`` at its end, added to the values."""
+    order = Window.partitionBy("series_id").orderBy("t")
+    x = (F.row_number().over(order) - 1) / (F.count("*").over(Window.partitionBy("series_id")) - 1)
+    return panel.select("series_id", "t", (F.col("value") + rise * F.greatest(F.lit(0.0), (x - start) / (1 - start))).alias("value"))

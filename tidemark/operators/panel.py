@@ -21,11 +21,10 @@ def hourly_panel(events: DataFrame) -> DataFrame:
 
 def full_grid(panel: DataFrame) -> DataFrame:
     """``panel`` with a row for each series and each t from the first to the last; absent values are null."""
-    ends = panel.agg(F.min("t").alias("a"), F.max("t").alias("b"))
-    times = ends.where("a IS NOT NULL").select(F.explode(F.sequence("a", "b")).alias("t"))
+    ends = panel.agg(F.min("t").alias("first"), F.max("t").alias("last")).where("first IS NOT NULL")
     series = panel.select("series_id").distinct()
-    # every time meets every series by definition; the two lists are the panel's margins
-    slots = series.withColumn("one", F.lit(1)).join(times.withColumn("one", F.lit(1)), "one").drop("one")
+    # one row of margins goes to every series; each makes its own times
+    slots = series.join(F.broadcast(ends)).select("series_id", F.explode(F.sequence("first", "last")).alias("t"))
     return slots.join(panel, ["series_id", "t"], "left")
 
 

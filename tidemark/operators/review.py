@@ -147,3 +147,36 @@ def array_profile(rows: DataFrame, key: str, values: str, slice_to: int = 32) ->
         key, F.size(v).alias("n"), F.size(F.slice(v, 1, slice_to)).alias("n_kept"), F.round(F.try_divide(total, F.size(v)), 5).alias("mean"),
         F.round(F.array_max(v).cast("double"), 5).alias("max"), F.array_position(v, F.array_max(v)).alias("argmax"),
     )
+
+
+def review_answers(rows: DataFrame, key: str, answer: Column, expected: Column, *, low: int = 200, high: int = 6000) -> DataFrame:
+    """.25 schema, .25 expected points, .2 evidence, .15 structure and .15 length of an answer; passed from .75 on.
+
+    ``expected`` is an array of words that the answer must contain.
+    """
+    hits = F.size(F.filter(expected, lambda w: F.contains(F.lower(answer), F.lower(w))))
+    parts = {
+        "schema": (F.trim(answer) != "").cast("double"),
+        "points": F.coalesce(F.try_divide(hits.cast("double"), F.size(expected)), F.lit(1.0)),
+        "evidence": answer.rlike("[0-9]").cast("double"),
+        "structure": (F.size(F.split(answer, "\n")) >= 3).cast("double"),
+        "length": F.length(answer).between(low, high).cast("double"),
+    }
+    weights = {"schema": 0.25, "points": 0.25, "evidence": 0.2, "structure": 0.15, "length": 0.15}
+    score = F.round(sum((parts[k] * w for k, w in weights.items()), F.lit(0.0)), 4)
+    return rows.select(key, score.alias("score"), (score >= 0.75).alias("passed"))
+
+
+def judged_choice(scores: DataFrame, group: str) -> DataFrame:
+    """The candidate with the highest total, or sum of its five marks where that is missing; equal ones by the tie order.
+
+    A group is only decided if both candidates have a score; else the tie order of failures, calls, tokens
+    and index decides.
+    """
+    total = F.coalesce("total", sum((F.col(f"mark{k}") for k in range(1, 6)), F.lit(0)).cast("double"))
+    ties = F.struct("failures", "calls", "tokens", "index")
+    seen = scores.withColumn("t", total).groupBy(group).agg(
+        F.count("*").alias("n"), F.count("t").alias("judged"), F.min_by("index", F.struct(-F.col("t"), ties)).alias("by_score"), F.min_by("index", ties).alias("by_tie")
+    )
+    decided = F.col("judged") == F.col("n")
+    return seen.select(group, F.when(decided, F.col("by_score")).otherwise(F.col("by_tie")).alias("winner"), F.when(decided, "judge").otherwise("tie_break").alias("reason"))

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions import arrays as ar
 from tidemark.functions import json_values as jv
 from tidemark.functions.stats import r6
 from tidemark.operators import diagnostics as dg
+from tidemark.operators import generators as gn
 from tidemark.operators import relations as rl
+from tidemark.operators import review as rv
 from tidemark.operators import trajectories as tr
 from tidemark.plans.panel_queries import _CORR, _FILLED, _RES, _filled, _grid, _r, _residuals, _t
 
@@ -69,7 +72,33 @@ def intermittency(s: SparkSession, d: str) -> DataFrame:
     return dg.intermittency(points.withColumnRenamed("event_id", "t"))
 
 
+def answer_review(s: SparkSession, d: str) -> DataFrame:
+    return rv.review_answers(_t(s, d, "documents"), "doc_id", F.col("text"), F.array(F.lit("the"), F.lit("der"), F.lit("la"), F.lit("que")))
+
+
+def judged_choice(s: SparkSession, d: str) -> DataFrame:
+    marks = {f"mark{k}": (F.col("l_orderkey") * k % 7).cast("int") for k in range(1, 6)}
+    rows = _t(s, d, "lineitem").select(
+        "l_orderkey", F.col("l_linenumber").alias("index"), F.when(F.col("l_linenumber") % 3 == 0, F.col("l_quantity")).alias("total"), *[F.when(F.col("l_orderkey") % 5 != 0, v).alias(k) for k, v in marks.items()],
+        (F.col("l_linenumber") % 2).alias("failures"), F.col("l_quantity").cast("int").alias("calls"), F.col("l_linenumber").alias("tokens"),
+    )
+    return rv.judged_choice(rows, "l_orderkey")
+
+
+def array_series_stats(s: SparkSession, d: str) -> DataFrame:
+    e = F.transform("embedding", lambda x: x.cast("double"))
+    st = ar.finite_stats(ar.differences(e))
+    return _t(s, d, "embeddings").select("vec_id", F.round(st["mean"], 5).alias("mean_step"), F.round(st["greatest"], 5).alias("max_step"), st["n"].alias("n"), ar.longest(F.array(e, F.slice(e, 1, 3))).alias("longest"))
+
+
 QUERIES = {
+    "answer_review": answer_review,
+    "judged_choice": judged_choice,
+    "array_series_stats": array_series_stats,
+    "circular_lag": lambda s, d: dg.circular_lag(_filled(s, d), 5),
+    "training_dynamics": lambda s, d: dg.training_review(gn.training_curves(s, 24)),
+    "intermittent_demand": lambda s, d: gn.intermittent_demand(s, 10),
+    "drift_ramp": lambda s, d: gn.drift_ramp(_filled(s, d)).withColumn("value", F.round("value", 6)),
     "call_metrics": lambda s, d: tr.call_metrics(_calls(s, d), "user_id"),
     "trajectory_review": trajectory_review,
     "schema_breaches": schema_breaches,
@@ -87,7 +116,27 @@ QUERIES = {
     "label_rates": lambda s, d: _t(s, d, "labels").join(_t(s, d, "documents"), "doc_id").groupBy("lang").agg(F.count("*").alias("n"), r6(F.avg("quality")).alias("quality_rate"), r6(F.avg("toxic")).alias("toxic_rate")),
 }
 
+_HIT = " + ".join(f"contains(lower(text), '{w}')::INT" for w in ("the", "der", "la", "que"))
+_SCORE = rf"round(0.25 * (trim(text) <> '')::INT + 0.25 * ({_HIT}) / 4 + 0.2 * regexp_matches(text, '[0-9]')::INT + 0.15 * (len(string_split(text, chr(10))) >= 3)::INT + 0.15 * (length(text) BETWEEN 200 AND 6000)::INT, 4)"
+
 ORACLE_SQL = {
+    "answer_review": f"SELECT doc_id, {_SCORE} AS score, {_SCORE} >= 0.75 AS passed FROM documents",
+    "judged_choice": """WITH s AS (SELECT l_orderkey, l_linenumber AS i, coalesce(CASE WHEN l_linenumber % 3 = 0 THEN l_quantity END, CASE WHEN l_orderkey % 5 <> 0 THEN l_orderkey % 7 + l_orderkey * 2 % 7 + l_orderkey * 3 % 7 + l_orderkey * 4 % 7 + l_orderkey * 5 % 7 END) AS t,
+          l_linenumber % 2 AS f, CAST(l_quantity AS INTEGER) AS c FROM lineitem)
+        SELECT l_orderkey, CASE WHEN count(*) = count(t) THEN (list(i ORDER BY t DESC, f, c, i))[1] ELSE (list(i ORDER BY f, c, i))[1] END AS winner, CASE WHEN count(*) = count(t) THEN 'judge' ELSE 'tie_break' END AS reason FROM s GROUP BY l_orderkey""",
+    "array_series_stats": """WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings), d AS (SELECT vec_id, len(e) AS n, list_transform(range(2, len(e) + 1), lambda i: e[i] - e[i - 1]) AS d FROM e)
+        SELECT vec_id, round(list_sum(d) / len(d), 5) AS mean_step, round(list_max(d), 5) AS max_step, CAST(len(d) AS INTEGER) AS n, CAST(n AS INTEGER) AS longest FROM d""",
+    "circular_lag": f"""WITH {_FILLED}, n AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY t) - 1 AS i, count(*) OVER (PARTITION BY series_id) AS n FROM filled)
+        SELECT a.series_id, a.t, round(b.value, 6) AS lagged FROM n AS a JOIN n AS b ON a.series_id = b.series_id AND a.i = (b.i + 5) % b.n""",
+    "training_dynamics": """WITH r AS (SELECT CAST(run AS INTEGER) AS run, CAST(step AS INTEGER) AS step, step / 60 AS x, (['good', 'overfit', 'underfit', 'oscillating'])[run % 4 + 1] AS kind FROM range(0, 24) AS a(run), range(1, 61) AS b(step)),
+        c AS (SELECT *, CASE kind WHEN 'underfit' THEN 0.9 - 0.2 * x ELSE 0.1 + exp(-4 * x) END AS train, CASE kind WHEN 'overfit' THEN greatest(0, x - (0.48 + 0.02 * (run % 11))) * 0.8 WHEN 'oscillating' THEN 0.08 * sin(12 * x * pi()) ELSE 0.02 END AS extra FROM r),
+        v AS (SELECT run, step, train, train + extra AS v, train + extra - lag(train + extra) OVER w AS d FROM c WINDOW w AS (PARTITION BY run ORDER BY step)),
+        t AS (SELECT *, sign(d) <> sign(lag(d) OVER (PARTITION BY run ORDER BY step)) AS turn FROM v)
+        SELECT run, (list(step ORDER BY round(v, 6), step))[1] AS best_step, round(max_by(v - train, step), 6) AS final_gap, count(*) FILTER (turn) AS turns, max(step) AS last_step FROM t GROUP BY run""",
+    "intermittent_demand": f"""WITH r AS (SELECT 'd' || s AS series_id, CAST(t AS INTEGER) AS t FROM range(0, 10) AS a(s), range(0, 120) AS b(t)), u AS (SELECT *, CAST('0x' || substr(sha256('"demand:' || series_id || ':' || t || '"'), 1, 12) AS BIGINT) / power(16, 12) AS u FROM r)
+        SELECT series_id, t, CASE WHEN u < 0.3 THEN round(1 + 20 * u / 0.3, 6) ELSE 0 END AS value FROM u""",
+    "drift_ramp": f"""WITH {_FILLED}, n AS (SELECT *, (row_number() OVER (PARTITION BY series_id ORDER BY t) - 1) / (count(*) OVER (PARTITION BY series_id) - 1) AS x FROM filled)
+        SELECT series_id, t, round(value + 8 * greatest(0, (x - 0.6) / (1 - 0.6)), 6) AS value FROM n""",
     "call_metrics": """WITH s AS (SELECT user_id, event_type AS name, value >= 20 AS ok, row_number() OVER (PARTITION BY user_id, event_type, props, value >= 20 ORDER BY event_id) AS nth FROM events)
         SELECT user_id, count(*) AS calls, count(*) FILTER (ok) AS succeeded, count(*) FILTER (NOT ok) AS failed, coalesce(string_agg(DISTINCT name, ',' ORDER BY name) FILTER (ok), '') AS tools,
         count(*) FILTER (ok AND nth > 1) AS repeats, count(*) FILTER (NOT ok AND nth = 2) AS stops FROM s GROUP BY user_id""",

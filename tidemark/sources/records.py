@@ -67,3 +67,17 @@ def contiguous_prefix(df: DataFrame, index: str) -> DataFrame:
     gap = have.select((F.col(index) + 1).alias(index)).unionByName(df.sparkSession.createDataFrame([(1,)], f"{index} long")).distinct().join(have, index, "left_anti")
     least = gap.where(F.col(index) >= 1).agg(F.min(index).alias("gap"))
     return df.join(F.broadcast(least)).where((F.col(index) >= 1) & (F.col(index) < F.col("gap"))).drop("gap")
+
+
+def read_csv_records(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """CSV with a header whose fields may hold line breaks and quoted JSON."""
+    return spark.read.schema(schema).options(header="true", multiLine="true", quote='"', escape='"', mode="FAILFAST").csv(path)
+
+
+def verify_files(files: DataFrame, path: str, name: str = "name", digest: str = "sha256") -> DataFrame:
+    """For each expected file whether it is below ``path`` and whether its SHA-256 is the recorded one."""
+    spark = files.sparkSession
+    there = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    found = there.select(F.element_at(F.split("path", "/"), -1).alias(name), F.sha2("content", 256).alias("__found"))
+    joined = files.join(found, name, "left")
+    return joined.select(*files.columns, F.col("__found").isNotNull().alias("exists"), F.coalesce(F.col("__found") == F.col(digest), F.lit(False)).alias("intact"))
