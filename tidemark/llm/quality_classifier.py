@@ -95,41 +95,55 @@ def train(texts: list[bytes], labels: np.ndarray, *, steps: int = 700, batch: in
     by_label = [np.flatnonzero(labels == k) for k in (0, 1)]
     weight = [1 - share, share]
     width = 2 * HALF + PAIRS - 1
+    # pairs that occur are numbered, so that a step makes answers for them alone
+    seen = np.zeros(65536, bool)
+    for t in texts:
+        seen[pairs_of(t)] = True
+    number = np.cumsum(seen) - 1
+    known = np.flatnonzero(seen)
+    low, high = known & 255, known >> 8
     for step in range(1, steps + 1):
-        tables = net.tables()
-        windows, owner, target, cost = [], [], [], []
+        by_byte = np.einsum("bd,kdf->kbf", net.embedding, net.filters)
+        tables = by_byte[0::2][:, low] + by_byte[1::2][:, high]
+        windows, sizes, target, cost, room = [], [], [], [], []
         for d in range(batch):
             k = d % 2  # as many of each label; the cost restores their shares
             pairs = pairs_of(texts[r.choice(by_label[k])])
             starts = np.arange(0, max(1, len(pairs) - width + HALF), HALF)
-            for s in r.choice(starts, min(STEP_CHUNKS, len(starts)), replace=False):
-                windows.append(pairs[s : s + width])
-                owner.append(d)
+            taken = r.choice(starts, min(STEP_CHUNKS, len(starts)), replace=False)
+            for at in taken:
+                part = number[pairs[at : at + width]]
+                windows.append(np.pad(part, (0, width - len(part))))
+                room.append(len(part) - PAIRS + 1)
+            sizes.append(len(taken))
             target.append(k)
             cost.append(2 * weight[k])
-        owner, target, cost = np.array(owner), np.array(target), np.array(cost)
-        sizes = np.bincount(owner, minlength=batch)
-        best = np.zeros((len(windows), FILTERS), "int64")
-        top = np.zeros((len(windows), FILTERS), "float32")
-        for i, w in enumerate(windows):
-            a = answers(w, tables)
-            best[i] = a.argmax(0)
-            top[i] = a[best[i], np.arange(FILTERS)]
+        sizes, target, cost, room, shown = np.array(sizes), np.array(target), np.array(cost), np.array(room), np.array(windows)
+        owner = np.repeat(np.arange(batch), sizes)
+        n = width - PAIRS + 1
+        a = tables[0][shown[:, :n]]
+        for k in range(1, PAIRS):
+            a += tables[k][shown[:, k : k + n]]
+        a[np.arange(n)[None, :] >= room[:, None]] = -np.inf
+        best = a.argmax(1)
+        top = np.take_along_axis(a, best[:, None, :], 1)[:, 0, :]
         h = np.maximum(top + net.bias, 0)
         pooled = np.stack([np.bincount(owner, h[:, f], batch) for f in range(FILTERS)], 1) / sizes[:, None]
         p = 1 / (1 + np.exp(-np.clip(net.logit(pooled), -30, 30)))
         g = (p - target) * cost / batch
         g_top = (g / sizes)[owner][:, None] * net.weights * (h > 0)
         g_filters, g_embedding = np.zeros_like(net.filters), np.zeros_like(net.embedding)
-        bytes_of = [w.view("u1") for w in windows]
         live_i, live_f = np.nonzero(g_top)
-        at = np.array([2 * best[i, f] for i, f in zip(live_i, live_f, strict=True)], "int64")
-        seen = np.array([bytes_of[i][a : a + 2 * PAIRS] for i, a in zip(live_i, at, strict=True)]).reshape(-1, 2 * PAIRS)
         g_live = g_top[live_i, live_f].astype("float32")
+        by_filter = np.zeros((len(live_i), FILTERS), "float32")
+        by_filter[np.arange(len(live_i)), live_f] = g_live
+        at = best[live_i, live_f]
         for k in range(2 * PAIRS):
-            e = net.embedding[seen[:, k]]
-            np.add.at(g_filters[k].T, live_f, e * g_live[:, None])
-            np.add.at(g_embedding, seen[:, k], net.filters[k].T[live_f] * g_live[:, None])
+            pair = shown[live_i, at + k // 2]
+            byte = (high if k % 2 else low)[pair]
+            g_filters[k] = net.embedding[byte].T @ by_filter
+            pull = net.filters[k].T[live_f] * g_live[:, None]
+            g_embedding += np.stack([np.bincount(byte, pull[:, j], 256) for j in range(EMBEDDING)], 1).astype("float32")
         grads = {"embedding": g_embedding, "filters": g_filters, "bias": g_top.sum(0), "weights": pooled.T @ g + 1e-4 * net.weights, "offset": g.sum()}
         pace = rate * min(1.0, 2 * (1 - step / (steps + 1)))
         for n in names:
