@@ -156,6 +156,10 @@ def _least(n: int, share: float) -> int:
     return int(np.ceil(share * n - 1e-9))
 
 
+#: Blocks that shingles are dealt to by hash; a sketch tells which hold one, and two or more, of a bag.
+BLOCKS = 512
+
+
 def prefix_keys(bag: tuple[np.ndarray, np.ndarray], leader: tuple[np.ndarray, np.ndarray], name: bytes, similarity: float) -> np.ndarray:
     """The first shingles of a bag in its leader's order, as many as a partner must share one of.
 
@@ -172,10 +176,21 @@ def prefix_keys(bag: tuple[np.ndarray, np.ndarray], leader: tuple[np.ndarray, np
     return _mix(token[order[:size]] ^ np.uint64(int.from_bytes(name[:8], "little"))).view("int64")
 
 
+def block_sketch(bag: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, int]:
+    """Bits of the blocks with a shingle and with two, as numbers, and the shingles beyond two of a block.
+
+    Two bags share at most as many shingles as bits of both, and the lesser number beyond.
+    """
+    held = np.bincount((_mix(bag[0] ^ _GOLDEN) % np.uint64(BLOCKS)).astype("int64"), bag[1], BLOCKS)
+    bits = np.packbits(np.concatenate([held >= 1, held >= 2]), bitorder="little").view("int64")
+    return bits, int(np.maximum(held - 2, 0).sum())
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, prefixes: float | None = None) -> DataFrame:
     """(a, b, distance) of pairs of digests by the overlap of their whole bags.
 
-    With a similarity as ``prefixes`` also size and keys: the shingles of a and its prefix in b's order.
+    With a similarity as ``prefixes`` also size (shingles of a), keys (a's prefix in b's order), blocks and
+    beyond (a's sketch).
     """
     side = lambda c: texts.select(F.col("digest").alias(c), F.col("text").alias(f"text_{c}"))
     fed = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", F.col("text_a").cast("binary"), F.col("text_b").cast("binary"))
@@ -196,38 +211,46 @@ def _verified(pairs: DataFrame, texts: DataFrame, prefixes: float | None = None)
             return recent[key]
 
         for batch in batches:
-            far, sizes, keys = [], [], []
+            far, extra = [], []
             for a, b, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 mine, other = bag(a, x), bag(b, y)
                 far.append(1 - overlap(mine, other))
                 if prefixes:
-                    sizes.append(int(mine[1].sum()))
-                    keys.append(prefix_keys(mine, other, b, prefixes))
-            made = [pa.array(far, pa.float64())] + ([pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))] if prefixes else [])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *made], names=["a", "b", "distance", *(["size", "keys"] if prefixes else [])])
+                    extra.append((int(mine[1].sum()), prefix_keys(mine, other, b, prefixes), *block_sketch(mine)))
+            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64()]
+            made = [pa.array(c, t) for c, t in zip(zip(*extra, strict=True), kinds, strict=True)] if extra else []
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(far, pa.float64()), *made], names=["a", "b", "distance", *_EXTRA[: len(made)]])
+
+    return fed.mapInArrow(compare, "a binary, b binary, distance double" + (", size long, keys array<long>, blocks array<long>, beyond long" if prefixes else ""))
+
 
-    return fed.mapInArrow(compare, "a binary, b binary, distance double" + (", size long, keys array<long>" if prefixes else ""))
+_EXTRA = ("size", "keys", "blocks", "beyond")
 
 
 def _open_pairs(checked: DataFrame, component: DataFrame, similarity: float) -> DataFrame:
     """(a, b): pairs with one leader and different components that may reach ``similarity``.
 
     Two such bags share a shingle among the first of each in the leader's order (prefix filter); at the
-    first shared one the rest of both must still suffice (positional filter).  Pairs within the leader's
-    own component, the bulk of a large group, are never met: one side is always from outside it.
+    first shared one the rest of both must still suffice (positional filter), and so must what their block
+    sketches allow them to share.  Pairs within the leader's own component, the bulk of a large group, are
+    never met: one side is always from outside it.
     """
     at = lambda c: component.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
     placed = checked.join(at("a"), "a", "left").join(at("b"), "b", "left")
     placed = placed.withColumns({"ca": F.coalesce("ca", "a"), "cb": F.coalesce("cb", "b")})
     outside = placed.where("ca <> cb").select("b").distinct()
-    rows = placed.join(outside, "b", "left_semi").select("a", "ca", "size", (F.col("ca") == F.col("cb")).alias("led"), F.posexplode("keys").alias("pos", "key"))
+    about = F.struct("size", "blocks", "beyond", (F.col("ca") == F.col("cb")).alias("led"))
+    rows = placed.join(outside, "b", "left_semi").select("a", "ca", about.alias("of"), F.posexplode("keys").alias("pos", "key"))
     rows = materialise(rows, "prefixes")
     least = lambda n: F.ceil(n * (similarity / (1 + similarity)) - 1e-9)
-    short = rows.where(F.col("pos") <= F.col("size") - least(2 * F.col("size")))
-    x = short.select("key", F.col("a").alias("x"), F.col("ca").alias("cx"), F.col("size").alias("nx"), F.col("pos").alias("px"), F.col("led").alias("lx"))
-    y = rows.select("key", F.col("a").alias("y"), F.col("ca").alias("cy"), F.col("size").alias("ny"), F.col("pos").alias("py"), F.col("led").alias("ly"))
-    enough = (F.col("cx") != F.col("cy")) & (F.col("nx") <= F.col("ny")) & (F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py")) >= least(F.col("nx") + F.col("ny")))
-    met = [x.where("NOT lx").alias("p").join(y.alias("q"), (F.col("p.key") == F.col("q.key")) & enough), x.where("lx").alias("p").join(y.where("NOT ly").alias("q"), (F.col("p.key") == F.col("q.key")) & enough)]
+    short = rows.where(F.col("pos") <= F.col("of.size") - least(2 * F.col("of.size")))
+    x = short.select("key", F.col("a").alias("x"), F.col("ca").alias("cx"), F.col("of").alias("ox"), F.col("pos").alias("px"))
+    y = rows.select("key", F.col("a").alias("y"), F.col("ca").alias("cy"), F.col("of").alias("oy"), F.col("pos").alias("py"))
+    nx, ny = F.col("ox.size"), F.col("oy.size")
+    both = sum((F.bit_count(F.get("ox.blocks", k).bitwiseAND(F.get("oy.blocks", k))) for k in map(F.lit, range(2 * BLOCKS // 64))), F.lit(0))
+    most = F.least(nx - F.col("px"), ny - F.col("py"), both + F.least("ox.beyond", "oy.beyond"))
+    enough = (F.col("p.key") == F.col("q.key")) & (F.col("cx") != F.col("cy")) & (nx <= ny) & (most >= least(nx + ny))
+    met = [x.where("NOT ox.led").alias("p").join(y.alias("q"), enough), x.where("ox.led").alias("p").join(y.where("NOT oy.led").alias("q"), enough)]
     pairs = met[0].select("x", "y").unionByName(met[1].select("x", "y"))
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
