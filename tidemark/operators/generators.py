@@ -83,10 +83,8 @@ def gate_attempts(spark: SparkSession, scenarios: int, attempts: int = 4, least_
     All attempts are made side by side and the first that passes is kept by a partial minimum.
     """
     base = deterministic_part(spark, scenarios).withColumn("attempt", F.explode(F.sequence(F.lit(0), F.lit(attempts - 1))))
-    ship_package(spark)
-    drawn = base.withColumn("key", F.col("scenario") * attempts + F.col("attempt"))
-    z = F.xxhash64("scenario", "series", "attempt", "t")
-    noisy = drawn.withColumn("value", F.col("trend") + F.col("season") + 0.3 * (F.pmod(z, F.lit(1000)) / 1000.0 - 0.5))
+    u = unit_interval(stable_hash("noise", *map(F.col, ("scenario", "series", "attempt", "t"))))
+    noisy = base.withColumn("value", F.col("trend") + F.col("season") + 0.6 * (u - 0.5))
     a = noisy.select("scenario", "attempt", "t", F.col("series").alias("a"), F.col("value").alias("x"))
     b = noisy.select("scenario", "attempt", "t", F.col("series").alias("b"), F.col("value").alias("y"))
     r = F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y"))

@@ -188,6 +188,9 @@ ORACLE_SQL = {
         SELECT question, CAST(row_number() OVER w - 1 AS INTEGER) AS place, tool FROM o WINDOW w AS (PARTITION BY question ORDER BY first, h, tool) QUALIFY row_number() OVER w <= 6""",
     "interleaved_schedule": f"""WITH total AS (SELECT 200 AS total), weights AS (SELECT lang AS level, count(*) / (SELECT count(*) FROM documents) AS w FROM documents GROUP BY lang), {_QUOTA},
         r AS (SELECT level AS task, CAST(unnest(range(1, CAST(q AS BIGINT) + 1)) AS BIGINT) AS round FROM quota WHERE q > 0) SELECT task, round, row_number() OVER (ORDER BY round, task) AS place FROM r""",
+    "task_assignment": """WITH sp AS (SELECT 'task' || (r_regionkey % 3) AS task, r_name AS spec, row_number() OVER w - 1 AS k, count(*) OVER (PARTITION BY r_regionkey % 3) AS n FROM region WINDOW w AS (PARTITION BY r_regionkey % 3 ORDER BY r_regionkey)),
+        sc AS (SELECT 'task' || (n_regionkey % 3) AS task, 's' || n_nationkey AS scenario, row_number() OVER (PARTITION BY n_regionkey % 3 ORDER BY n_nationkey) - 1 AS k FROM nation)
+        SELECT sc.task, scenario, spec, CAST(CASE WHEN sc.k < n THEN 1 ELSE 2 END AS INTEGER) AS turn FROM sc JOIN sp ON sp.task = sc.task AND sp.k = CASE WHEN sc.k < n THEN sc.k ELSE (sc.k - n) % n END""",
     "conversation_review": """WITH s AS (SELECT *, lag(role) OVER w AS before, row_number() OVER w AS nth, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn) AS said FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
         c AS (SELECT conv_id, count(*) AS n_turns, count(*) FILTER (role NOT IN ('user', 'assistant', 'system')) AS a, count(*) FILTER (role = 'system' AND nth > 1) AS b, count(*) FILTER (role = before) AS c, count(*) FILTER (said > 1) AS d,
           count(*) FILTER (trim(text) = '') AS e, count(*) FILTER (role = 'assistant') AS answers, max_by(role, turn) AS last FROM s GROUP BY conv_id)
