@@ -187,4 +187,50 @@ SELECT conv_id, count(*) FILTER (shared) AS n_prompt_turns,
 FROM placed GROUP BY conv_id
 """
 
-ORACLE_SQL = {"op8_preference_formatting": _OP8, "op1_decontamination": _OP1, "op6_quality_rules": _OP6}
+_OP5 = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), classes AS (
+  SELECT doc_id, w, CASE WHEN len(w) > 0 THEN min(doc_id) OVER (PARTITION BY w) ELSE doc_id END AS class_id FROM words
+), starts AS (
+  SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM classes WHERE doc_id = class_id AND len(w) > 0
+), bags AS (
+  SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS s, count(*) AS c FROM starts GROUP BY ALL
+), sizes AS (
+  SELECT doc_id, sum(c) AS n FROM bags GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, sum(least(a.c, b.c)) AS m FROM bags AS a JOIN bags AS b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN sizes AS x ON x.doc_id = a JOIN sizes AS y ON y.doc_id = b WHERE 10 * m >= 8 * (x.n + y.n - m)
+), sides AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach(doc, root) AS (
+  SELECT DISTINCT a, a FROM sides UNION SELECT s.b, r.root FROM reach AS r JOIN sides AS s ON s.a = r.doc
+), groups AS (
+  SELECT doc AS class_id, min(root) AS g FROM reach GROUP BY doc
+)
+SELECT doc_id, class_id, coalesce(g, class_id) AS group_id, doc_id = coalesce(g, class_id) AS keep FROM classes LEFT JOIN groups USING (class_id)
+"""
+
+_OP9 = r"""
+WITH lines AS (
+  SELECT doc_id, pos - 1 AS pos, l[pos] AS line, len(l) AS n_lines FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents) AS d, LATERAL (SELECT unnest(range(1, len(l) + 1)) AS pos) AS p
+), firsts AS (
+  SELECT line, length(line) AS n, min({'d': doc_id, 'p': pos}) AS first FROM lines WHERE length(line) >= 32 GROUP BY line
+), parts AS (
+  SELECT line, n, first, k, substr(line, k * (n // 3) + 1, n // 3) AS part FROM firsts, range(0, 3) AS r(k)
+), probes AS (
+  SELECT line, n, first, k, n + d AS other, substr(line, k * ((n + d) // 3) + 1 + m, (n + d) // 3) AS part FROM firsts, range(0, 3) AS r(k), range(-2, 3) AS e(d), range(-2, 3) AS f(m) WHERE k * ((n + d) // 3) + m >= 0
+), candidates AS (
+  SELECT DISTINCT a.line AS line, b.line AS earlier FROM probes AS a JOIN parts AS b ON b.n = a.other AND b.k = a.k AND b.part = a.part AND b.line <> a.line AND b.first < a.first
+), near AS (
+  SELECT DISTINCT line FROM candidates WHERE levenshtein(line, earlier) <= 2
+), kinds AS (
+  SELECT l.doc_id, l.pos, CASE WHEN f.first <> {'d': l.doc_id, 'p': l.pos} THEN 'exact' WHEN n.line IS NOT NULL THEN 'near' END AS kind FROM lines AS l JOIN firsts AS f ON f.line = l.line LEFT JOIN near AS n ON n.line = l.line
+), gone AS (
+  SELECT doc_id, count(*) FILTER (kind = 'exact') AS n_exact, count(*) FILTER (kind = 'near') AS n_near, list(CAST(pos AS INTEGER) ORDER BY pos) AS removed FROM kinds WHERE kind IS NOT NULL GROUP BY doc_id
+)
+SELECT doc_id, CAST(coalesce(len(string_split(text, chr(10))), 0) AS BIGINT) AS n_lines, coalesce(n_exact, 0) AS n_exact, coalesce(n_near, 0) AS n_near, coalesce(removed, []::INTEGER[]) AS removed FROM documents LEFT JOIN gone USING (doc_id)
+"""
+
+ORACLE_SQL = {"op5_minhash_near_dedup": _OP5, "op9_line_dedup": _OP9, "op8_preference_formatting": _OP8, "op1_decontamination": _OP1, "op6_quality_rules": _OP6}
