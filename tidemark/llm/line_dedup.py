@@ -59,7 +59,7 @@ def index_keys(line: Column, tau: int = THRESHOLD) -> list[Column]:
 
 
 def probe_keys(line: Column, tau: int = THRESHOLD) -> list[Column]:
-    """Hashes of the substrings that can match a segment of a line up to ``tau`` shorter.
+    """Hashes of the substrings that can match a segment of a line up to ``tau`` shorter, but for its own segments.
 
     A match of segment i needs at most i edits before it and tau - i after it (else another segment
     matches too), which bounds how far its place can move from either end.
@@ -70,7 +70,7 @@ def probe_keys(line: Column, tau: int = THRESHOLD) -> list[Column]:
         other = length - less
         for i, (start, size) in enumerate(_cuts(other, tau)):
             low, high = max(-i, less - (tau - i)), min(i, less + (tau - i))
-            keys += [F.xxhash64(F.substring(line, start + move + 1, size), F.lit(i), other) for move in range(low, high + 1)]
+            keys += [F.xxhash64(F.substring(line, start + move + 1, size), F.lit(i), other) for move in range(low, high + 1) if less or move]
     return keys
 
 
@@ -192,7 +192,7 @@ def _met(lines: DataFrame, tau: int) -> DataFrame:
     distinct = firsts.select("h1", F.array(*names).alias("keys"))
     same = Window.partitionBy("key")
     index = distinct.select(F.explode(F.slice("keys", 1, n_index)).alias("key"), F.col("h1").alias("b")).withColumns({"n": F.count("*").over(same), "least": F.min("b").over(same)})
-    probe = distinct.select(F.explode(F.slice("keys", n_index + 1, len(names) - n_index)).alias("key"), F.col("h1").alias("a"))
+    probe = distinct.select(F.explode("keys").alias("key"), F.col("h1").alias("a"))
     hot = F.col("n") > HOT_LINES
     joined = probe.join(index, "key").where(F.when(hot, F.col("b") == F.col("least")).otherwise(F.col("a") != F.col("b")))
     pair = lambda f, c: F.when(hot, c).otherwise(f("a", "b"))
@@ -287,7 +287,7 @@ def line_report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     by_doc = gone.groupBy("k1", "k2").agg(
         F.sort_array(F.collect_list("pos")).alias("removed"), F.count_if(F.col("kind") == "exact").alias("n_exact"), F.count_if(F.col("kind") == "near").alias("n_near")
     )
-    n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.length(text) - F.length(F.replace(F.col(text), F.lit("\n"), F.lit(""))) + 1)
+    n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.octet_length(text) - F.octet_length(F.replace(F.col(text), F.lit("\n"), F.lit(""))) + 1)
     all_docs = docs.select(F.col(doc_id).alias("doc_id"), *_row_key(doc_id, text), n_lines.cast("long").alias("n_lines"))
     none = F.lit(0).cast("long")
     return all_docs.join(by_doc, ["k1", "k2"], "left").select(
