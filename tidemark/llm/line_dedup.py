@@ -18,6 +18,12 @@ from tidemark.llm.common import materialise
 THRESHOLD = 2
 #: Shorter lines are left alone: a few edits make another line of them.
 MIN_CHARS = 32
+#: What the whole rule allows of the shorter line's characters as edits (in per cent), where that is more than THRESHOLD.
+PERCENT = 5
+#: Long lines within PERCENT of each other share a run of GRAM + SPREAD - 1 characters, so a gram picked from it.
+GRAM, SPREAD = 10, 6
+#: Characters whose counts are compared before long lines are.
+LETTERS = "etaoinsrhldumc"
 #: Lines that share a segment beyond this number are joined with more conditions than the segment.
 HOT_LINES = 24
 #: Keys (of 16 bytes) that are broadcast at most; more are joined by shuffling.
@@ -225,11 +231,81 @@ def similar_lines(lines: DataFrame, fetch: Callable[[DataFrame], DataFrame], *,
     return checked.where(edit_distance(F.col("line_a"), F.col("line_b"), tau) <= tau).select("a", "b")
 
 
-def duplicate_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", tau: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
+def picked_grams(line: Column) -> Column:
+    """(key, at) of the least of each SPREAD neighbouring grams: lines that share GRAM + SPREAD - 1 characters share one."""
+    chars = F.split(line, "")
+    gram = lambda c, i: F.struct(F.xxhash64(F.slice(c, i, GRAM)).alias("key"), i.alias("at"))
+    grams = _once(chars, lambda c: F.transform(F.sequence(F.lit(1), F.size(c) - GRAM + 1), lambda i: gram(c, i)))
+    return _once(grams, lambda g: F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(g) - SPREAD + 1), lambda i: F.array_min(F.slice(g, i, SPREAD)))))
+
+
+def letter_counts(line: Column) -> list[Column]:
+    """How often each of LETTERS occurs, up to 255, seven to a number."""
+    count = lambda c: F.least(F.lit(255), F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))).cast("long")
+    return [sum((F.shiftleft(count(c), 8 * k) for k, c in enumerate(LETTERS[i : i + 7])), F.lit(0).cast("long")) for i in (0, 7)]
+
+
+def _letters_apart(pairs: list[tuple[Column, Column]]) -> Column:
+    byte = lambda v, k: F.shiftright(v, 8 * k).bitwiseAND(255)
+    return sum((F.abs(byte(a, k) - byte(b, k)) for a, b in pairs for k in range(7)), F.lit(0).cast("long"))
+
+
+def grown_repeats(lines: DataFrame, firsts: DataFrame, fetch: Callable[[DataFrame], DataFrame], *, tau: int = THRESHOLD, percent: int = PERCENT) -> DataFrame:
+    """Hashes h1 of long lines with an earlier line within ``percent`` of the shorter one's characters as edits.
+
+    Long are lines of which ``percent`` is more than ``tau``; ``firsts`` has the first place of each h1.  Cut
+    into one part more than there may be edits, the shorter line has a part that stands in the other too, and
+    a picked gram in it.  Lines first meet the earliest line with their gram and length; those that are near
+    it are settled, and only the others meet every earlier line of a like length, place and count of letters.
+    """
+    least = _grown_from(tau, percent)
+    if min(n // (n * percent // 100 + 1) for n in range(least, 100 * least)) < GRAM + SPREAD - 1:
+        raise ValueError("parts of so many edits are shorter than the grams picked from them")
+    line = F.col("line")
+    n, (c1, c2) = F.length(line), letter_counts(line)
+    made = lines.where(n >= least).select("h1", n.alias("n"), c1.alias("c1"), c2.alias("c2"), picked_grams(line).alias("grams"))
+    distinct = made.groupBy("h1").agg(*[F.first(c).alias(c) for c in ("n", "c1", "c2", "grams")]).join(firsts, "h1")
+    level = F.floor(F.log("n") / F.log(F.lit(1 + percent / 100))).cast("int")
+    spread = distinct.select("h1", "n", "c1", "c2", "first", level.alias("level"), F.inline("grams"))
+    same = Window.partitionBy("key")
+    grams = spread.withColumns({"low": F.min("h1").over(same), "high": F.max("h1").over(same)}).where("low < high").drop("low", "high")
+    grams = materialise(grams, "line-grams")
+
+    most = lambda a, b: F.floor(F.least(a, b) * percent / 100)
+    alike = lambda a, b: (F.abs(a["n"] - b["n"]) <= most(a["n"], b["n"])) & (_letters_apart([(a["c1"], b["c1"]), (a["c2"], b["c2"])]) <= 2 * most(a["n"], b["n"]))
+
+    def near(pairs: DataFrame, name: str) -> DataFrame:
+        pairs = materialise(pairs.distinct(), name)
+        wanted = materialise(pairs.select(F.explode(F.array("later", "earlier")).alias("h1")).distinct(), f"{name}-lines")
+        texts = materialise(fetch(wanted).groupBy("h1").agg(F.any_value("line").alias("line")), f"{name}-texts")
+        side = lambda c: texts.select(F.col("h1").alias(c), F.col("line").alias(f"line_{c}"))
+        both = pairs.join(side("later"), "later").join(side("earlier"), "earlier")
+        a, b = F.col("line_later"), F.col("line_earlier")
+        limit = most(F.length(a), F.length(b)).cast("int")
+        return materialise(both.where(F.call_function("levenshtein", a, b, limit) >= 0).select(F.col("later").alias("h1")).distinct(), f"{name}-near")
+
+    me = F.struct("first", "h1", "n", "c1", "c2").alias("me")
+    leaders = grams.groupBy("key", "level").agg(F.min(me).alias("leader"))
+    led = grams.join(leaders, ["key", "level"]).select("h1", me, "leader").where("leader.first < me.first").where(alike(F.col("me"), F.col("leader")))
+    settled = near(led.select(F.col("h1").alias("later"), F.col("leader.h1").alias("earlier")), "line-leaders")
+    open_ = grams.join(settled, "h1", "left_anti").withColumn("level", F.explode(F.array(F.col("level") - 1, F.col("level"), F.col("level") + 1)))
+    x, y = open_.select("key", "level", F.struct("first", "h1", "n", "c1", "c2", "at").alias("x")), grams.select("key", "level", F.struct("first", "h1", "n", "c1", "c2", "at").alias("y"))
+    here = F.abs(F.col("x.at") - F.col("y.at")) <= most(F.col("x.n"), F.col("y.n"))
+    met = x.alias("l").join(y.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.level") == F.col("r.level")) & (F.col("y.first") < F.col("x.first")) & here & alike(F.col("x"), F.col("y")))
+    return settled.unionByName(near(met.select(F.col("x.h1").alias("later"), F.col("y.h1").alias("earlier")), "line-others"))
+
+
+def _grown_from(tau: int, percent: int) -> int:
+    """The least length of which ``percent`` is more than ``tau`` edits."""
+    return -(-100 * (tau + 1) // percent)
+
+
+def duplicate_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", tau: int = THRESHOLD, min_chars: int = MIN_CHARS, percent: int = 0) -> DataFrame:
     """k1, k2, doc_id, pos and kind ("exact" or "near") of each line that repeats an earlier one.
 
     Lines are ordered by the document's id and their place in it.  A line goes if the same line comes
-    earlier, or if the first of its kind has an earlier different line within ``tau`` edits.
+    earlier, or if the first of its kind has an earlier different line within ``tau`` edits, or within
+    ``percent`` of the shorter line's characters where that is more.
     """
     lines = lines_of(docs, doc_id=doc_id, text=text, min_chars=min_chars)
     where = F.struct("doc_id", "k1", "k2", "pos")
@@ -243,25 +319,31 @@ def duplicate_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         keyed = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), k1, k2).join(_few(spots), ["k1", "k2"], "left_semi")
         return lines_of(keyed, min_chars=min_chars).join(_few(wanted), "h1", "left_semi").select("h1", "line")
 
-    linked = similar_lines(lines.select("h1", "line"), fetch, tau=tau)
+    compared = lines.select("h1", "line")
+    # the shorter line sets the threshold, so ``tau`` holds for pairs of which it is below the length that grown ones start from
+    few_edits = compared.where(F.length("line") < _grown_from(tau, percent) + tau) if percent else compared
+    linked = similar_lines(few_edits, fetch, tau=tau)
     first = classes.groupBy("h1").agg(F.min("first").alias("first"))
     at = lambda c: first.select(F.col("h1").alias(c), F.col("first").alias(f"first_{c}"))
     later = linked.join(at("a"), "a").join(at("b"), "b").select(F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a")).alias("h1"))
+    if percent:
+        later = later.unionByName(grown_repeats(compared, first, fetch, tau=tau, percent=percent))
     near = materialise(later.distinct().withColumn("near", F.lit(True)), "near-lines")
     marked = classes.join(near, "h1", "left")
     kind = F.when(F.col("first") != where, "exact").when(F.col("near"), "near")
     return places.join(marked, ["h1", "h2"]).select("k1", "k2", "doc_id", "pos", kind.alias("kind")).where("kind IS NOT NULL").distinct()
 
 
-def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", tau: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", tau: int = THRESHOLD, min_chars: int = MIN_CHARS, percent: int = 0) -> DataFrame:
     """``docs`` without repeated lines in ``text``, with n_lines, n_exact and n_near (lines removed).
 
-    Only lines of at least ``min_chars`` code points are compared.  Defined cases: a null text stays null
+    Only lines of at least ``min_chars`` code points are compared;
+    ``percent`` lets the edits grow with the lines (see duplicate_lines).  Defined cases: a null text stays null
     with no lines, an empty one has one empty line; rows with the same id and text are one document to the
     comparison and keep the same lines; a document may end up empty; an empty table gives an empty result;
     other columns are carried, those named like a new one replaced.
     """
-    gone = duplicate_lines(docs, doc_id=doc_id, text=text, tau=tau, min_chars=min_chars)
+    gone = duplicate_lines(docs, doc_id=doc_id, text=text, tau=tau, min_chars=min_chars, percent=percent)
     by_doc = gone.groupBy("k1", "k2").agg(
         F.collect_list("pos").alias("gone"), F.count_if(F.col("kind") == "exact").alias("exact"), F.count_if(F.col("kind") == "near").alias("near")
     )
@@ -281,9 +363,9 @@ def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     return joined.select(*[v.alias(n) for n, v in (old | new).items()])
 
 
-def line_report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", tau: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
+def line_report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", tau: int = THRESHOLD, min_chars: int = MIN_CHARS, percent: int = 0) -> DataFrame:
     """doc_id, n_lines, n_exact, n_near and removed (sorted places of the removed lines) of each document."""
-    gone = duplicate_lines(docs, doc_id=doc_id, text=text, tau=tau, min_chars=min_chars)
+    gone = duplicate_lines(docs, doc_id=doc_id, text=text, tau=tau, min_chars=min_chars, percent=percent)
     by_doc = gone.groupBy("k1", "k2").agg(
         F.sort_array(F.collect_list("pos")).alias("removed"), F.count_if(F.col("kind") == "exact").alias("n_exact"), F.count_if(F.col("kind") == "near").alias("n_near")
     )

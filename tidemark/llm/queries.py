@@ -69,6 +69,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(_table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(_table(spark, sf_dir, "documents"), percent=line_dedup.PERCENT)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
@@ -85,6 +89,7 @@ QUERIES = {
     "op7_quality_classifier": op7_quality_classifier,
     "op8_preference_formatting": op8_preference_formatting,
     "op9_line_dedup": op9_line_dedup,
+    "op9_line_dedup_whole": op9_line_dedup_whole,
     "op10_toxicity": op10_toxicity,
 }
 
