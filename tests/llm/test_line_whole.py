@@ -1,4 +1,4 @@
-"""The whole rule of line deduplication against plain Python: edits that grow with the line."""
+"""The whole rule of line deduplication against plain Python: edits that grow with the line, exact repeats of short lines."""
 
 from __future__ import annotations
 
@@ -20,17 +20,18 @@ def _near(a, b, ca, cb):
     return abs(len(a) - len(b)) <= most and (ca - cb).total() <= most and (cb - ca).total() <= most and _edits(a, b, most) <= most
 
 
-def _expected(docs):
+def _expected(docs, short):
     first, counts, want = {}, {}, set()
     for k, i, x in sorted((k, i, x) for k, t in docs.items() for i, x in enumerate((t or "").split("\n"))):
-        if len(x) < 32:
+        if len(x) < 32 and not (short and any(c.isascii() and c.isalnum() or ord(c) > 127 for c in x)):
             continue
         if x in first:
             want.add((k, i))
             continue
-        counts[x] = Counter(x)
-        if any(y != x and _near(x, y, counts[x], c) for y, c in counts.items()):
-            want.add((k, i))
+        if len(x) >= 32:
+            counts[x] = Counter(x)
+            if any(y != x and _near(x, y, counts[x], c) for y, c in counts.items()):
+                want.add((k, i))
         first[x] = (k, i)
     return want
 
@@ -61,7 +62,7 @@ def test_edits_grow_with_the_line(spark, copies):
     docs |= {100 + k: "".join(c if r.random() > 0.03 else "q" for c in line) for k in range(copies)}
     df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
     got = {(x.doc_id, i) for x in line_dedup.line_report(df, percent=5).collect() for i in x.removed}
-    want = _expected(docs)
+    want = _expected(docs, short=False)
     assert got == want
     assert got > {(x.doc_id, i) for x in line_dedup.line_report(df).collect() for i in x.removed}
 
@@ -76,4 +77,10 @@ def test_whole_query_against_all_lines(spark):
     sf = "/root/testdata/sf0.001"
     docs = {x.doc_id: x.text for x in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     got = {(x.doc_id, i) for x in queries.op9_line_dedup_whole(spark, sf).collect() for i in x.removed}
-    assert got == _expected(docs)
+    assert got == _expected(docs, short=True)
+
+
+def test_short_lines_go_if_repeated_exactly(spark):
+    df = spark.createDataFrame([(1, "All rights reserved.\n---\n\n漢字漢字\nAll rights deserved."), (2, "---\n漢字漢字\n\nAll rights reserved.\nnew")], "doc_id long, text string")
+    got = {x.doc_id: (x.n_exact, x.n_near, x.removed) for x in line_dedup.line_report(df, short=True).collect()}
+    assert got == {1: (0, 0, []), 2: (2, 0, [1, 3])}

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise
+from tidemark.llm.common import WORD_TABLE, materialise
 
 #: Edits that near lines differ by at most.
 THRESHOLD = 2
@@ -30,6 +30,8 @@ HOT_LINES = 24
 BROADCAST_KEYS = 200_000
 #: Characters fall in 30 buckets; counts modulo 16 of 15 buckets fit a number.
 BUCKETS, NIBBLES = 30, (1 << 60) - 1
+#: Characters that are in no word.
+_WORDLESS = "".join(chr(b) for b in range(128) if WORD_TABLE[b] == 32)
 
 
 def _row_key(doc_id: str, text: str) -> tuple[Column, Column]:
@@ -37,11 +39,17 @@ def _row_key(doc_id: str, text: str) -> tuple[Column, Column]:
     return F.xxhash64(doc_id, text).alias("k1"), F.hash(text, doc_id).alias("k2")
 
 
-def lines_of(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
-    """k1, k2, doc_id, pos, line and its hashes h1, h2 for each line of at least ``min_chars`` code points."""
+def lines_of(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, short: bool = False) -> DataFrame:
+    """k1, k2, doc_id, pos, line and its hashes h1, h2 for each line of at least ``min_chars`` code points.
+
+    With ``short`` every shorter line that has a word comes too.
+    """
+    taken = F.length("line") >= min_chars
+    if short:
+        taken = taken | (F.translate("line", _WORDLESS, "") != "")
     return (
         docs.select(F.col(doc_id).alias("doc_id"), *_row_key(doc_id, text), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
-        .where(F.length("line") >= min_chars)
+        .where(taken)
         .select("k1", "k2", "doc_id", "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
     )
 
@@ -300,14 +308,15 @@ def _grown_from(tau: int, percent: int) -> int:
     return -(-100 * (tau + 1) // percent)
 
 
-def duplicate_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", tau: int = THRESHOLD, min_chars: int = MIN_CHARS, percent: int = 0) -> DataFrame:
+def duplicate_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", tau: int = THRESHOLD, min_chars: int = MIN_CHARS, short: bool = False, percent: int = 0) -> DataFrame:
     """k1, k2, doc_id, pos and kind ("exact" or "near") of each line that repeats an earlier one.
 
     Lines are ordered by the document's id and their place in it.  A line goes if the same line comes
     earlier, or if the first of its kind has an earlier different line within ``tau`` edits, or within
-    ``percent`` of the shorter line's characters where that is more.
+    ``percent`` of the shorter line's characters where that is more.  With ``short``, lines below
+    ``min_chars`` that have a word go if they are repeated exactly.
     """
-    lines = lines_of(docs, doc_id=doc_id, text=text, min_chars=min_chars)
+    lines = lines_of(docs, doc_id=doc_id, text=text, min_chars=min_chars, short=short)
     where = F.struct("doc_id", "k1", "k2", "pos")
     places = materialise(lines.select("k1", "k2", "doc_id", "pos", "h1", "h2"), "lines")
     classes = materialise(places.groupBy("h1", "h2").agg(F.min(where).alias("first")), "line-classes")
@@ -319,7 +328,7 @@ def duplicate_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         keyed = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), k1, k2).join(_few(spots), ["k1", "k2"], "left_semi")
         return lines_of(keyed, min_chars=min_chars).join(_few(wanted), "h1", "left_semi").select("h1", "line")
 
-    compared = lines.select("h1", "line")
+    compared = lines.where(F.length("line") >= min_chars).select("h1", "line")
     # the shorter line sets the threshold, so ``tau`` holds for pairs of which it is below the length that grown ones start from
     few_edits = compared.where(F.length("line") < _grown_from(tau, percent) + tau) if percent else compared
     linked = similar_lines(few_edits, fetch, tau=tau)
@@ -334,16 +343,16 @@ def duplicate_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     return places.join(marked, ["h1", "h2"]).select("k1", "k2", "doc_id", "pos", kind.alias("kind")).where("kind IS NOT NULL").distinct()
 
 
-def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", tau: int = THRESHOLD, min_chars: int = MIN_CHARS, percent: int = 0) -> DataFrame:
+def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", tau: int = THRESHOLD, min_chars: int = MIN_CHARS, short: bool = False, percent: int = 0) -> DataFrame:
     """``docs`` without repeated lines in ``text``, with n_lines, n_exact and n_near (lines removed).
 
-    Only lines of at least ``min_chars`` code points are compared;
-    ``percent`` lets the edits grow with the lines (see duplicate_lines).  Defined cases: a null text stays null
+    Only lines of at least ``min_chars`` code points are compared, with ``short`` also whether others with a word
+    are equal; ``percent`` lets the edits grow with the lines (see duplicate_lines).  Defined cases: a null text stays null
     with no lines, an empty one has one empty line; rows with the same id and text are one document to the
     comparison and keep the same lines; a document may end up empty; an empty table gives an empty result;
     other columns are carried, those named like a new one replaced.
     """
-    gone = duplicate_lines(docs, doc_id=doc_id, text=text, tau=tau, min_chars=min_chars, percent=percent)
+    gone = duplicate_lines(docs, doc_id=doc_id, text=text, tau=tau, min_chars=min_chars, short=short, percent=percent)
     by_doc = gone.groupBy("k1", "k2").agg(
         F.collect_list("pos").alias("gone"), F.count_if(F.col("kind") == "exact").alias("exact"), F.count_if(F.col("kind") == "near").alias("near")
     )
@@ -363,9 +372,9 @@ def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     return joined.select(*[v.alias(n) for n, v in (old | new).items()])
 
 
-def line_report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", tau: int = THRESHOLD, min_chars: int = MIN_CHARS, percent: int = 0) -> DataFrame:
+def line_report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", tau: int = THRESHOLD, min_chars: int = MIN_CHARS, short: bool = False, percent: int = 0) -> DataFrame:
     """doc_id, n_lines, n_exact, n_near and removed (sorted places of the removed lines) of each document."""
-    gone = duplicate_lines(docs, doc_id=doc_id, text=text, tau=tau, min_chars=min_chars, percent=percent)
+    gone = duplicate_lines(docs, doc_id=doc_id, text=text, tau=tau, min_chars=min_chars, short=short, percent=percent)
     by_doc = gone.groupBy("k1", "k2").agg(
         F.sort_array(F.collect_list("pos")).alias("removed"), F.count_if(F.col("kind") == "exact").alias("n_exact"), F.count_if(F.col("kind") == "near").alias("n_near")
     )

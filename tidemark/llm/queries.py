@@ -70,7 +70,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_report(_table(spark, sf_dir, "documents"), percent=line_dedup.PERCENT)
+    return line_dedup.line_report(_table(spark, sf_dir, "documents"), short=True, percent=line_dedup.PERCENT)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
