@@ -118,26 +118,25 @@ def forecast_ar(filled: DataFrame, order: int = 3, horizon: int = 12) -> DataFra
     return filled.groupBy("series_id").applyInPandas(run, "series_id string, step int, value double")
 
 
-def dtw(a: np.ndarray, b: np.ndarray, band: int) -> float:
-    """Dynamic time warping cost within a band around the diagonal, two rows of it at a time."""
-    band = max(band, abs(len(a) - len(b)))
-    last = np.full(len(b) + 1, np.inf)
+def dtw(a: np.ndarray, b: np.ndarray, band: int | None = None) -> float:
+    """Dynamic time warping cost, two antidiagonals at a time; with ``band``, of paths that close to the diagonal."""
+    n, m = len(a), len(b)
+    band = max(n, m) if band is None else max(band, abs(n - m))
+    # place i of a diagonal d is the cell of the first i points of a and the first d - i of b
+    before, last = np.full(n + 1, np.inf), np.full(n + 1, np.inf)
     last[0] = 0
-    for i, x in enumerate(a, 1):
-        now = np.full(len(b) + 1, np.inf)
-        low, high = max(1, i - band), min(len(b), i + band)
-        step = np.minimum(last[low : high + 1], last[low - 1 : high]) + np.abs(b[low - 1 : high] - x)
-        cost = np.abs(b[low - 1 : high] - x)
-        run = now[low - 1]
-        for j in range(high - low + 1):
-            run = min(step[j], run + cost[j])
-            now[low + j] = run
-        last = now
+    for d in range(1, n + m + 1):
+        now = np.full(n + 1, np.inf)
+        low, high = max(1, d - m, -((band - d) // 2)), min(n, d - 1, (d + band) // 2)
+        if low <= high:
+            cost = np.abs(a[low - 1 : high] - b[d - high - 1 : d - low][::-1])
+            now[low : high + 1] = cost + np.minimum(np.minimum(last[low : high + 1], last[low - 1 : high]), before[low - 1 : high])
+        before, last = last, now
     return float(last[-1])
 
 
-def dtw_pairs(filled: DataFrame, band: int = 24) -> DataFrame:
-    """Warping distance of each pair of standardised series."""
+def dtw_pairs(filled: DataFrame, band: int | None = None) -> DataFrame:
+    """Warping distance of each pair of standardised series, over all paths unless a ``band`` is asked for."""
     ship_package(filled.sparkSession)
     arrays = filled.groupBy("series_id").agg(F.sort_array(F.collect_list(F.struct("t", "value"))).alias("p")).select("series_id", F.transform("p", lambda x: x["value"]).alias("v"))
     a, b = arrays.select(F.col("series_id").alias("a"), F.col("v").alias("x")), arrays.select(F.col("series_id").alias("b"), F.col("v").alias("y"))
