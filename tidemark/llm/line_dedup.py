@@ -244,7 +244,9 @@ def picked_grams(line: Column) -> Column:
     chars = F.split(line, "")
     gram = lambda c, i: F.struct(F.xxhash64(F.slice(c, i, GRAM)).alias("key"), i.alias("at"))
     grams = _once(chars, lambda c: F.transform(F.sequence(F.lit(1), F.size(c) - GRAM + 1), lambda i: gram(c, i)))
-    return _once(grams, lambda g: F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(g) - SPREAD + 1), lambda i: F.array_min(F.slice(g, i, SPREAD)))))
+    least = _once(grams, lambda g: F.transform(F.sequence(F.lit(1), F.size(g) - SPREAD + 1), lambda i: F.array_min(F.slice(g, i, SPREAD))))
+    # the same gram is picked by neighbours only
+    return _once(least, lambda m: F.filter(m, lambda x, i: (i == 0) | (x["at"] != F.get(m, i - 1)["at"])))
 
 
 def letter_counts(line: Column) -> list[Column]:
