@@ -95,7 +95,7 @@ def gate_attempts(spark: SparkSession, scenarios: int, attempts: int = 4, least_
 
 
 def inject_defects(panel: DataFrame, every: int = 40) -> DataFrame:
-    """Spikes, a level shift, a block gap and repeated points at fixed places, each with a flag of its kind."""
+    """Spikes, a level shift and a block gap at fixed places, each with a flag of its kind."""
     order = Window.partitionBy("series_id").orderBy("t")
     n = F.row_number().over(order)
     spike = (n % every == 7)
