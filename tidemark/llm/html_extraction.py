@@ -11,6 +11,7 @@ import html
 import math
 import random
 import re
+from bisect import bisect_right
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -56,10 +57,9 @@ KEYWORDS = frozenset(
 
 SENTENCE_ENDS = frozenset(".!?:;\"'”»…")
 
-_MARK = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>",
-    re.DOTALL,
-)
+_MARK = re.compile(r"<(?:[!?]|/?[a-zA-Z])")
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
+_BODY = re.compile(r"(?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+")
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _TOKEN = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
@@ -87,12 +87,67 @@ def _attributes(raw: str) -> dict[str, str]:
     return found
 
 
+class _Marks:
+    """Tags of a page in order, in time linear in the page however broken it is."""
+
+    def __init__(self, page: str):
+        self.page, self.last = page, page.rfind(">")
+        #: Quotes are read until a tag's quotes run to the end of the page; from then on a tag ends at the next >.
+        self.quotes = True
+        self.endless: set[str] = set()
+
+    def find(self, at: int) -> tuple[int, int, str, bool, str] | None:
+        """Start, end, lower-case name ("" for comments and declarations), whether it is an end tag, and attributes."""
+        page = self.page
+        while m := _MARK.search(page, at):
+            start = m.start()
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                return start, end + 3 if end >= 0 else len(page), "", False, ""
+            if page[start + 1] in "!?":
+                end = page.find(">", start + 2)
+                return start, end + 1 if end >= 0 else len(page), "", False, ""
+            if start > self.last:  # no tag can end any more
+                at = start + 2
+                continue
+            ending = page[start + 1] == "/"
+            name = _NAME.match(page, start + 1 + ending)
+            end = -1
+            if self.quotes:
+                end = _BODY.match(page, name.end()).end()
+                if page[end : end + 1] != ">":
+                    self.quotes, end = False, -1
+            if end < 0:
+                end = page.find(">", name.end())
+            if end < 0:
+                at = start + 2
+                continue
+            return start, end + 1, name[0].lower(), ending, page[name.end() : end]
+        return None
+
+    def after_raw(self, name: str, at: int) -> int | None:
+        """Where the next end tag of ``name`` ends."""
+        if name in self.endless:
+            return None
+        m = _raw_end(name).search(self.page, at, self.last + 1)
+        if not m:
+            self.endless.add(name)
+        return m.end() if m else None
+
+
+@lru_cache(maxsize=64)
+def _raw_end(name: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.IGNORECASE)
+
+
 def parse(page: str) -> Tree:
     """The page's block elements and texts; inline elements only mark links, what RAW elements hold is left out."""
     tree = Tree()
     stack = [tree.add(-1, "#page", {})]
+    places: dict[str, list[int]] = {}  # of the open elements of a name on the stack, outermost first
     run: list[tuple[str, bool]] = []
     links = 0
+    marks = _Marks(page)
 
     def flush() -> None:
         if run:
@@ -106,35 +161,36 @@ def parse(page: str) -> Tree:
         nonlocal links
         flush()
         links = 0
+        for node in stack[k:]:
+            places[tree.tag[node]].pop()
         del stack[k:]
 
+    def innermost(names) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=0)
+
     at = 0
     while at < len(page):
-        m = _MARK.search(page, at)
-        upto = m.start() if m else len(page)
+        mark = marks.find(at)
+        upto = mark[0] if mark else len(page)
         if upto > at:
             run.append((html.unescape(page[at:upto]), links > 0))
-        if not m:
+        if not mark:
             break
-        at = m.end()
-        name = (m[2] or m[5] or "").lower()
+        _, at, name, ending, attrs = mark
         if not name:
             continue
-        if m[1] or m[4]:
+        if ending:
             if name in INLINE:
                 links = max(0, links - (name == "a"))
-            else:
-                k = next((i for i in range(len(stack) - 1, 0, -1) if tree.tag[stack[i]] == name), 0)
-                if k:
-                    close_until(k)
-                elif name == "p":
-                    flush()
+            elif k := innermost((name,)):
+                close_until(k)
+            elif name == "p":
+                flush()
             continue
-        attrs = m[3] if m[3] is not None else m[6]
         if name in RAW and not attrs.endswith("/"):
             # raw contents end at the element's own end tag
-            end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.IGNORECASE).search(page, at)
-            at = end.end() if end else (len(page) if name in ("script", "style", "textarea", "title") else at)
+            end = marks.after_raw(name, at)
+            at = end if end is not None else (len(page) if name in ("script", "style", "textarea", "title") else at)
             run.append((" ", False))
             continue
         if name in INLINE:
@@ -143,21 +199,18 @@ def parse(page: str) -> Tree:
                 run.append((" ", False))
             continue
         if name in CLOSES_P:
-            k = next((i for i in range(len(stack) - 1, 0, -1) if tree.tag[stack[i]] in ("p", "td", "th", "li", "button", "table")), 0)
+            k = innermost(("p", "td", "th", "li", "button", "table"))
             if k and tree.tag[stack[k]] == "p":
                 close_until(k)
         if name in ENDS:
             ends, stops = ENDS[name]
-            k = len(stack)
-            for i in range(len(stack) - 1, 0, -1):
-                if tree.tag[stack[i]] in stops:
-                    break
-                if tree.tag[stack[i]] in ends:
-                    k = i
-            if k < len(stack):
-                close_until(k)
+            above = innermost(stops)
+            inside = [places[n][i] for n in ends if places.get(n) for i in [bisect_right(places[n], above)] if i < len(places[n])]
+            if inside:
+                close_until(min(inside))
         flush()
         if name not in VOID:
+            places.setdefault(name, []).append(len(stack))
             stack.append(tree.add(stack[-1], name, _attributes(attrs)))
             links = 0
     flush()
@@ -446,8 +499,9 @@ def extract(pages: DataFrame, model: DomModel | None = None, *, html_column: str
     """Add text (blocks of content joined by an empty line) and n_chars (its code points).
 
     A null or empty page, or one without content, gives an empty text.  White space within a block is one
-    blank, line breaks too; nothing else is dropped or cut.  Repeated pages each get their row; other
-    columns are carried, those named like a new one replaced.
+    blank, line breaks too; nothing else is dropped or cut.  A very long page is read whole, in time linear in
+    its length whatever it holds; blocks with equal marginals fare alike.  Repeated pages each get their row, an
+    empty table stays empty; other columns are carried, those named like a new one replaced.
     """
     shared = pages.sparkSession.sparkContext.broadcast(model or default_model())
 
