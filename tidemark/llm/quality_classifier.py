@@ -1,7 +1,7 @@
 """Document quality by a byte-level convolutional network, trained and applied in numpy.
 
-Filters of eight bytes move two bytes at a time over the whole text; their largest answers in overlapping
-chunks of 512 bytes are averaged over the chunks and combined into one probability.
+Filters of eight bytes move byte by byte over the whole text; their largest answers in overlapping chunks of
+512 bytes are averaged over the chunks and combined into one probability.
 """
 
 from __future__ import annotations
@@ -18,8 +18,10 @@ from tidemark.llm.common import held_out, labelled_sample, map_text
 #: Bytes of labelled text that a network is trained on at most.
 SAMPLE_BYTES = 24_000_000
 EMBEDDING, FILTERS, PAIRS = 8, 16, 4
+#: Bytes from the first pair of a filter to its last.
+SPAN = 2 * (PAIRS - 1)
 #: Filter positions in half a chunk; chunks overlap by half.
-HALF = 128
+HALF = 256
 #: Chunks of a document that one training step uses (all count when a text is scored).
 STEP_CHUNKS = 6
 
@@ -54,16 +56,16 @@ class ByteConvolution:
 
 
 def pairs_of(raw: bytes) -> np.ndarray:
-    """The text as 16-bit pairs, filled up with zero bytes to at least one filter width."""
-    need = max(2 * PAIRS, len(raw) + len(raw) % 2)
-    return np.frombuffer(raw.ljust(need, b"\0"), "<u2")
+    """Each byte of the text with the next one as a 16-bit number; short texts are filled up to one filter width."""
+    b = np.frombuffer(raw.ljust(2 * PAIRS, b"\0"), "uint8").astype("uint16")
+    return b[:-1] | b[1:] << 8
 
 
 def answers(pairs: np.ndarray, tables: np.ndarray) -> np.ndarray:
-    n = len(pairs) - PAIRS + 1
+    n = len(pairs) - SPAN
     out = tables[0][pairs[:n]]
     for k in range(1, PAIRS):
-        out += tables[k][pairs[k : k + n]]
+        out += tables[k][pairs[2 * k : 2 * k + n]]
     return out
 
 
@@ -72,10 +74,10 @@ def chunk_features(pairs: np.ndarray, tables: np.ndarray, bias: np.ndarray) -> n
 
     Long texts go through in pieces, so memory doesn't grow with the text.
     """
-    n, step = len(pairs) - PAIRS + 1, 256 * HALF
+    n, step = len(pairs) - SPAN, 128 * HALF
     halves = []
     for at in range(0, n, step):
-        a = answers(pairs[at : min(at + step, n) + PAIRS - 1], tables)
+        a = answers(pairs[at : min(at + step, n) + SPAN], tables)
         halves.append(np.maximum.reduceat(a, np.arange(0, len(a), HALF), axis=0))
     h = np.concatenate(halves)
     tops = np.maximum(h[:-1], h[1:]) if len(h) > 1 else h
@@ -94,7 +96,7 @@ def train(texts: list[bytes], labels: np.ndarray, *, steps: int = 700, batch: in
     first, second = ({n: np.zeros_like(np.asarray(getattr(net, n), "float32")) for n in names} for _ in range(2))
     by_label = [np.flatnonzero(labels == k) for k in (0, 1)]
     weight = [1 - share, share]
-    width = 2 * HALF + PAIRS - 1
+    width = 2 * HALF + SPAN
     # pairs that occur are numbered, so that a step makes answers for them alone
     seen = np.zeros(65536, bool)
     for t in texts:
@@ -114,16 +116,16 @@ def train(texts: list[bytes], labels: np.ndarray, *, steps: int = 700, batch: in
             for at in taken:
                 part = number[pairs[at : at + width]]
                 windows.append(np.pad(part, (0, width - len(part))))
-                room.append(len(part) - PAIRS + 1)
+                room.append(len(part) - SPAN)
             sizes.append(len(taken))
             target.append(k)
             cost.append(2 * weight[k])
         sizes, target, cost, room, shown = np.array(sizes), np.array(target), np.array(cost), np.array(room), np.array(windows)
         owner = np.repeat(np.arange(batch), sizes)
-        n = width - PAIRS + 1
+        n = width - SPAN
         a = tables[0][shown[:, :n]]
         for k in range(1, PAIRS):
-            a += tables[k][shown[:, k : k + n]]
+            a += tables[k][shown[:, 2 * k : 2 * k + n]]
         a[np.arange(n)[None, :] >= room[:, None]] = -np.inf
         best = a.argmax(1)
         top = np.take_along_axis(a, best[:, None, :], 1)[:, 0, :]
@@ -139,7 +141,7 @@ def train(texts: list[bytes], labels: np.ndarray, *, steps: int = 700, batch: in
         by_filter[np.arange(len(live_i)), live_f] = g_live
         at = best[live_i, live_f]
         for k in range(2 * PAIRS):
-            pair = shown[live_i, at + k // 2]
+            pair = shown[live_i, at + k - k % 2]
             byte = (high if k % 2 else low)[pair]
             g_filters[k] = net.embedding[byte].T @ by_filter
             pull = net.filters[k].T[live_f] * g_live[:, None]
@@ -172,8 +174,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
 def score(docs: DataFrame, net: ByteConvolution, *, text: str = "text", threshold: float = 0.7, keep: list[str] | None = None) -> DataFrame:
     """Add score (0 to 1, higher: label 1 likelier) and predicted (1 from ``threshold`` on).
 
-    Every byte of every text is seen by the filters; empty and null texts are scored as zero bytes.
-    Repeated documents each get their row; other columns are carried, those named like a new one replaced.
+    The filters see every place of every text; very long ones go through in pieces, empty and null texts are
+    scored as zero bytes.  Repeated documents each get their row, an empty table stays empty; other columns
+    are carried, those named like a new one replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
