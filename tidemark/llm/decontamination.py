@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import map_text, words_of
+from tidemark.llm.common import discard, map_text, materialise, words_of
 
 WINDOW = 13
 #: Words of test items in one automaton: bounds what is broadcast at a time (two states a word at most).
@@ -150,6 +152,56 @@ def automata(benchmark: DataFrame, item: str, text: str, window: int, shard_word
         yield SuffixAutomaton(shard, window)
 
 
+def _scanned(docs: DataFrame, text: str, shards: Iterator[SuffixAutomaton]) -> DataFrame:
+    """A table of k1, k2 (hashes of a text), spans and names of the texts that any automaton hits.
+
+    The texts pass one automaton after the other, and only that one is in memory.
+    """
+    spark = docs.sparkSession
+    texts = docs.select(F.col(f"`{text}`").alias("text")).where("text IS NOT NULL").select("text", *_text_key("text"))
+    found = []
+    for automaton in shards:
+        shared = spark.sparkContext.broadcast(automaton)
+
+        def make(shared=shared):
+            def scan(raws: list[bytes | None]) -> list[list]:
+                spans, names = [], []
+                for raw in raws:
+                    got, owners = shared.value.scan(words_of(raw or b""))
+                    spans.append([{"start": a, "end": b} for a, b in got])
+                    names.append(sorted({x for x in (shared.value.names[k] for k in owners) if x is not None}))
+                return [spans, names]
+
+            return scan
+
+        hits = map_text(texts, "text", T.StructType.fromDDL("spans array<struct<start: long, end: long>>, names array<string>"), make, ["k1", "k2"])
+        found.append(materialise(hits.where(F.size("spans") > 0).dropDuplicates(["k1", "k2"]), "hits"))
+        shared.destroy()
+    union = found[0]
+    for more in found[1:]:
+        union = union.unionByName(more)
+    both = union.groupBy("k1", "k2").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("names"))).alias("names"))
+    out = materialise(both, "hits")
+    discard(*found)
+    return out
+
+
+def _text_key(text: str) -> tuple[Column, Column]:
+    return F.xxhash64(F.col(text)).alias("k1"), F.xxhash64(F.lit("text"), F.col(text)).alias("k2")
+
+
+def _long_runs(automaton_scan, words: list[bytes], spans: list[tuple[int, int]], least: int) -> list[tuple[int, int]]:
+    """Runs of ``least`` hit words and more, and those that come together once these are cut out."""
+    gone: list[tuple[int, int]] = []
+    places = list(range(len(words)))
+    while runs := [(a, b) for a, b in spans if b - a >= least]:
+        gone += [(places[k], places[k] + 1) for a, b in runs for k in range(a, b)]
+        inside = {k for a, b in runs for k in range(a, b)}
+        places = [p for k, p in enumerate(places) if k not in inside]
+        spans = automaton_scan([words[p] for p in places])
+    return _merge(gone)
+
+
 def decontaminate(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -159,59 +211,102 @@ def decontaminate(
     item_text: str = "text",
     window: int = WINDOW,
     coverage: tuple[int, int] = (1, 20),
+    longest: int = WINDOW,
     shard_words: int = SHARD_WORDS,
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """Measure how much of each document occurs in the test items.
+    """Measure how much of each document occurs in the test items, and what of it is too long to stay.
 
     Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text with A-Z lower-cased.  The training
     tokens stream through the automaton; wherever the longest match reaches ``window`` words (or a whole
     shorter item), the words of that match are hit.  Adds n_words, n_hit, n_items, items_sha256 (of the
-    sorted, comma-joined ids), contaminated (the share of hit words is at least ``coverage``) and
-    hit_spans (start and end in code points of each run of hit words, end exclusive).
-
-    The automata are broadcast, each of ``shard_words`` words of items at most; more items make more
-    automata, which every document passes one after the other.  Defined cases: a null or wordless text has
-    no words and is not contaminated; null items are skipped, items with a null id mark words but are not
-    named, repeated items count once by id; an empty benchmark hits nothing; repeated documents each get
-    their row; other columns are carried, those named like a new one are replaced.
+    sorted, comma-joined ids), contaminated (the share of hit words is at least ``coverage``), n_cut (words
+    in runs of ``longest`` hit words and more, which ``remove_cut_spans`` takes out), hit_spans and cut_spans
+    (start and end in code points of each run, end exclusive; a cut run may also come from what stands on
+    both sides of another, which n_cut doesn't count and several automata don't look for).
+
+    An automaton holds ``shard_words`` words of items at most and is broadcast.  More items make more
+    automata, which the texts pass one after the other, only one of them in memory at a time; what they
+    find is joined to the documents.  Defined cases: a null or wordless text has no words and is not
+    contaminated; a very long text streams through like any other; null items are skipped, items with a
+    null id mark words but are not named, repeated items count once by id; an empty benchmark hits nothing
+    and an empty table stays empty; repeated documents each get their row; other columns are carried, those
+    named like a new one are replaced.
     """
     sc = docs.sparkSession.sparkContext
-    shards = [sc.broadcast(a) for a in automata(benchmark, item, item_text, window, shard_words)]
+    shards = automata(benchmark, item, item_text, window, shard_words)
+    one, two = next(shards, None), next(shards, None)
+    shared, hits = None, None
+    if two is not None:
+        hits = _scanned(docs, text, chain([one, two], shards))
+    elif one is not None:
+        shared = sc.broadcast(one)
     num, den = coverage
     out = T.StructType.fromDDL(
-        "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean,"
-        " hit_spans array<struct<start: long, end: long>>"
+        "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, n_cut long,"
+        " hit_spans array<struct<start: long, end: long>>, cut_spans array<struct<start: long, end: long>>"
     )
 
-    def make():
-        def measure(texts: list[bytes | None]) -> list[list]:
+    def row(raw: bytes | None, words: list[bytes], spans: list[tuple[int, int]], names: list[str], scan) -> tuple:
+        ids = sorted(names, key=str.encode)
+        n_hit = sum(b - a for a, b in spans)
+        cut = _long_runs(scan, words, spans, longest) if spans else []
+        hit_at, cut_at = [], []
+        if spans:
+            places = [m.span() for m in _WORD.finditer(raw.decode())]
+            hit_at, cut_at = ([{"start": places[a][0], "end": places[b - 1][1]} for a, b in runs] for runs in (spans, cut))
+        digest = hashlib.sha256(",".join(ids).encode()).hexdigest()
+        n_cut = sum(b - a for a, b in spans if b - a >= longest)
+        return len(words), n_hit, len(ids), digest, n_hit > 0 and den * n_hit >= num * len(words), n_cut, hit_at, cut_at
+
+    if hits is None:
+
+        def make():
+            automaton = shared.value if shared else None
+
+            def measure(texts: list[bytes | None]) -> list[list]:
+                rows = []
+                for raw in texts:
+                    words = words_of(raw or b"")
+                    spans, found = automaton.scan(words) if automaton else ([], set())
+                    names = {x for x in (automaton.names[k] for k in found) if x is not None}
+                    rows.append(row(raw, words, spans, list(names), lambda w: automaton.scan(w)[0]))
+                return [list(c) for c in zip(*rows, strict=True)]
+
+            return measure
+
+        return map_text(docs, text, out, make, keep)
+
+    # the row travels as one value, so that no column of it can clash
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    joined = docs.select(whole, F.col(f"`{text}`").alias("text"), *_text_key(f"`{text}`")).join(hits, ["k1", "k2"], "left")
+    ready = joined.select("row", "text", F.to_json(F.struct("spans", "names")).alias("found"))
+    fed = ready.select("row", F.struct(F.col("text").cast("binary").alias("text"), "found").alias("both"))
+
+    def make_joined():
+        def measure(pairs: list[dict]) -> list[list]:
             rows = []
-            split = [words_of(t or b"") for t in texts]
-            spans: list[list] = [[] for _ in texts]
-            names: list[set] = [set() for _ in texts]
-            for b in shards:
-                automaton = b.value
-                for k, words in enumerate(split):
-                    got, found = automaton.scan(words)
-                    if got:
-                        spans[k] += got
-                        names[k].update(automaton.names[x] for x in found)
-            for raw, words, got, found in zip(texts, split, spans, names, strict=True):
-                got = _merge(got) if len(shards) > 1 else got
-                n_hit = sum(b - a for a, b in got)
-                ids = sorted((x for x in found if x is not None), key=str.encode)
-                at: list[dict] = []
-                if got:
-                    places = [m.span() for m in _WORD.finditer(raw.decode())]
-                    at = [{"start": places[a][0], "end": places[b - 1][1]} for a, b in got]
-                digest = hashlib.sha256(",".join(ids).encode()).hexdigest()
-                rows.append((len(words), n_hit, len(ids), digest, n_hit > 0 and den * n_hit >= num * len(words), at))
+            for pair in pairs:
+                raw, words = pair["text"], words_of(pair["text"] or b"")
+                found = json.loads(pair["found"])
+                spans = _merge([(s["start"], s["end"]) for s in found.get("spans", [])])
+                rows.append(row(raw, words, spans, found.get("names", []), lambda w: []))
             return [list(c) for c in zip(*rows, strict=True)]
 
         return measure
 
-    return map_text(docs, text, out, make, keep)
+    measured = map_text(fed, "both", out, make_joined, ["row"], as_is=True)
+    new = {f.name.lower() for f in out}
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in new]
+    return measured.select(*[F.col("row")[c].alias(c) for c in kept], *[f.name for f in out])
+
+
+def remove_cut_spans(measured: DataFrame, *, text: str = "text") -> DataFrame:
+    """Cut the ``cut_spans`` out of ``text``; each cut leaves a blank.
+
+    A null text stays null; a text without such spans is unchanged.
+    """
+    return _cut(measured, F.col("cut_spans"), text)
 
 
 def remove_hit_spans(measured: DataFrame, *, text: str = "text", min_chars: int = 1) -> DataFrame:
@@ -219,7 +314,10 @@ def remove_hit_spans(measured: DataFrame, *, text: str = "text", min_chars: int
 
     A null text stays null; a text without such spans is unchanged.
     """
-    cuts = F.filter("hit_spans", lambda s: s["end"] - s["start"] >= min_chars)
+    return _cut(measured, F.filter("hit_spans", lambda s: s["end"] - s["start"] >= min_chars), text)
+
+
+def _cut(measured: DataFrame, cuts: Column, text: str) -> DataFrame:
     body = F.col(f"`{text}`")
     done = F.aggregate(
         cuts,
