@@ -43,6 +43,26 @@ def test_decontamination_cases(spark, odd):
     assert decontamination.decontaminate(odd.limit(0), bench).count() == 0
 
 
+def test_long_runs_are_cut_until_none_is_left(spark):
+    item = [f"i{k}" for k in range(26)]
+    bench = items(spark, [(1, " ".join(item)), (2, "very short")])
+    rest = [f"r{k}" for k in range(400)]
+    texts = {
+        1: [*rest, *item[:5]],
+        2: [*rest[:9], *item[3:17], *rest[9:]],
+        3: [*rest, *item[:7], *item[7:20], *item[7:13]],
+        4: [*rest, "very", "short"],
+    }
+    docs = table(spark, [(k, " ".join(t)) for k, t in texts.items()] + [(5, None)])
+    measured = decontamination.decontaminate(docs, bench)
+    got = {r.doc_id: (r.text, r.n_cut) for r in decontamination.remove_cut_spans(measured).collect()}
+    assert got[1] == (" ".join(texts[1]), 0) and got[4] == (" ".join(texts[4]), 0) and got[5] == (None, 0)
+    assert got[2][0].split() == rest and got[2][1] == 14
+    # what remains on both sides of a cut makes another run
+    assert got[3][0].split() in (rest, [*rest, *item[7:13]])
+    assert decontamination.decontaminate(docs.limit(0), bench).count() == 0
+
+
 def test_many_automata_find_what_one_finds(spark):
     r = random.Random(2)
     word = lambda: f"w{r.randint(0, 3)}"
@@ -157,6 +177,16 @@ def test_extraction_cases(spark):
     assert html_extraction.extract(rows.limit(0), model).count() == 0
 
 
+@pytest.mark.parametrize("unit", ["<div>x", "<a x ", '<b title="x ', "<c '>'x", "<noscript>", "</script ", "<li>x<ul>", "<td>x", "<!--", "<p x='", "<table><tr><td>x"])
+def test_broken_pages_take_linear_time(unit):
+    import time
+
+    start = time.process_time()
+    text = html_extraction.main_text(unit * (1_000_000 // len(unit)), html_extraction.DomModel({}, np.zeros((2, 2, 2))))
+    assert time.process_time() - start < 30
+    assert len(text) <= 2_000_000
+
+
 def test_messages_give_the_exact_marginals():
     """Against the sum over all labellings of small trees."""
     import itertools
@@ -321,8 +351,9 @@ def test_filters_see_every_place_of_a_text():
     raw = bytes(r.integers(0, 256, 5000, dtype="uint8"))
     pairs, tables = quality_classifier.pairs_of(raw), net.tables()
     got = quality_classifier.answers(pairs, tables)
-    for i in (0, 7, len(got) - 1):
-        window = net.embedding[np.frombuffer(raw[2 * i : 2 * i + 8], "uint8")]
+    assert len(got) == len(raw) - 7
+    for i in (0, 7, 8, len(got) - 1):
+        window = net.embedding[np.frombuffer(raw[i : i + 8], "uint8")]
         assert np.allclose(got[i], np.einsum("kd,kdf->f", window, net.filters), atol=1e-4)
     tops = quality_classifier.chunk_features(pairs, tables, net.bias)
     assert np.allclose(tops.max(0), np.maximum(got.max(0) + net.bias, 0), atol=1e-5)
@@ -394,25 +425,56 @@ def test_edit_distance_and_lines(spark, odd):
     assert line_dedup.dedup_lines(odd.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("hot", [1, 24])
-def test_line_join_against_all_pairs(spark, hot, monkeypatch):
+@pytest.mark.parametrize(("tau", "hot"), [(1, 1), (2, 24), (3, 1), (3, 24), (4, 24), (5, 1)])
+def test_line_join_against_all_pairs(spark, tau, hot, monkeypatch):
     monkeypatch.setattr(line_dedup, "HOT_LINES", hot)
+    monkeypatch.setattr(line_dedup, "GROWTH", 4)
     r = random.Random(9)
     from test_llm_queries import _edits
 
-    base = ["".join(r.choice("abcdefgh ") for _ in range(r.randint(33, 44))) for _ in range(25)]
-    lines = [x for b in base for _ in range(5) for x in ["".join(c for c in b if r.random() > 0.02) + r.choice(["", "q"])] if len(x) >= 32]
+    base = ["".join(r.choice("abcdefgh ent") for _ in range(r.randint(38, 48))) for _ in range(12)]
+    lines = [x for b in base for _ in range(9) for x in ["".join(c for c in b if r.random() > 0.03 * tau / 2) + r.choice(["", "q"])] if len(x) >= 32]
+    # many lines of one template, which share segments
+    lines += [f"the entry with number {r.randint(0, 9999)} was seen here again" for _ in range(60)] + ["short", "short"]
     docs = table(spark, [(k, "\n".join(lines[k::11])) for k in range(11)])
     spots = sorted((k, i, x) for k in range(11) for i, x in enumerate(lines[k::11]))
     first, want = {}, set()
     for k, i, x in spots:
-        if x in first or any(_edits(x, y, 2) <= 2 for y in first if y != x and first[y] < (k, i)):
+        if x in first or len(x) >= 32 and any(len(y) >= 32 and _edits(x, y, tau) <= tau for y in first if y != x and first[y] < (k, i)):
             want.add((k, i))
         first.setdefault(x, (k, i))
-    got = {(r.doc_id, i) for r in line_dedup.line_report(docs).collect() for i in r.removed}
+    got = {(r.doc_id, i) for r in line_dedup.line_report(docs, tau=tau).collect() for i in r.removed}
     assert got == want
 
 
+def test_lines_of_one_template_meet_few_others(spark, monkeypatch):
+    """Lines that differ in a number: each is compared with some early lines, not with all."""
+    met, led = [], line_dedup._led
+
+    def counted(*args):
+        out = led(*args)
+        met.append(out.count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "_led", counted)
+    docs = table(spark, [(k, f"stamp number {k} of a page that was printed by the same machine") for k in range(2_000)])
+    rows = {r.doc_id: r.n_near for r in line_dedup.line_report(docs).collect()}
+    assert rows[0] == 0 and sum(rows.values()) == 1_999
+    assert sum(met) < 30 * 2_000
+
+
+def test_near_copies_keep_the_lines_they_share(spark):
+    r = random.Random(4)
+    para = lambda: " ".join(f"w{r.randint(0, 10**6)}" for _ in range(30))
+    common, base = para(), [para() for _ in range(9)]
+    other = [*base[:8], base[8].replace(" ", " x ", 1)]
+    docs = {1: [common, para()], 2: [*base, common], 3: [*other, common], 4: [base[0], *[para() for _ in range(8)]], 5: [*base, base[1], common]}
+    got = {x.doc_id: x.text.split("\n") for x in line_dedup.dedup_lines(table(spark, [(k, "\n".join(v)) for k, v in docs.items()]), spare_copies=True).collect()}
+    assert got == {1: docs[1], 2: base, 3: other, 4: docs[4][1:], 5: base}
+    plain = {x.doc_id: x.text.split("\n") for x in line_dedup.dedup_lines(table(spark, [(k, "\n".join(v)) for k, v in docs.items()])).collect()}
+    assert plain[3] == [] or len(plain[3]) == 1 and plain[4] == docs[4][1:]
+
+
 def test_preference_cases(spark):
     turns = "pair_id long, turn int, role string, text string, prompt string"
     a = [(1, 0, "user", "hi", "x"), (1, 1, "assistant", "good", "x"), (2, 0, "user", None, "x"), (2, 1, "assistant", "same", "x"), (3, 0, "user", "only", "x")]

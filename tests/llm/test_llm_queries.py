@@ -132,7 +132,7 @@ def test_toxicity_finds_the_labelled(spark, documents):
 
 
 def test_line_dedup_against_all_lines(spark, documents):
-    lines = sorted((k, i, x) for k, r in documents.items() for i, x in enumerate((r.text or "").split("\n")) if len(x) >= 32)
+    lines = sorted((k, i, x) for k, r in documents.items() for i, x in enumerate((r.text or "").split("\n")) if len(x) >= 32 or words_of(x.encode()))
     first, want = {}, set()
     for k, i, x in lines:
         if x in first:
@@ -140,10 +140,11 @@ def test_line_dedup_against_all_lines(spark, documents):
         else:
             first[x] = (k, i)
     by_length = defaultdict(list)
-    for x in first:
+    long = [x for x in first if len(x) >= 32]
+    for x in long:
         by_length[len(x)].append(x)
     near = set()
-    for x in first:
+    for x in long:
         for n in range(len(x) - 2, len(x) + 3):
             for y in by_length.get(n, ()):
                 # two edits leave one of three parts of a line in place, up to two steps away

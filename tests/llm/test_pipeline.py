@@ -43,20 +43,45 @@ def test_toxicity(spark, stages):
 
 def test_line_dedup(stages):
     before, after = stages["line_dedup"]
-    first, out = {}, {}
-    for r in sorted(before, key=lambda r: r.doc_id):
-        kept, lines = [], r.text.split("\n")
-        for i, x in enumerate(lines):
-            if len(x) >= 32:
-                same = x in first
-                near = any(y != x and abs(len(x) - len(y)) <= 2 and at < first.get(x, (r.doc_id, i)) and _edits(x, y, 2) <= 2 for y, at in first.items())
-                first.setdefault(x, (r.doc_id, i))
-                if same or near:
+    lines = {r.doc_id: r.text.split("\n") for r in before}
+    size = {r.doc_id: len(r.text) for r in before}
+    taken = lambda x: len(x) >= 32 or bool(words(x))
+    first, near = {}, set()
+    for k in sorted(lines):
+        for i, x in enumerate(lines[k]):
+            if taken(x) and x not in first:
+                if len(x) >= 32 and any(len(y) >= 32 and abs(len(x) - len(y)) <= 2 and _edits(x, y, 2) <= 2 for y in first):
+                    near.add(x)
+                first[x] = (k, i)
+    bag = lambda k: {tuple(w[i : i + 5]) for w in [words("\n".join(lines[k]))] for i in range(max(1, len(w) - 4))}
+    group = {}
+    for k in lines:
+        owned = Counter()
+        for i, x in enumerate(lines[k]):
+            if taken(x) and first[x][0] != k:
+                owned[first[x][0]] += len(x)
+        group[k] = k
+        if owned:
+            o, n = owned.most_common(1)[0]
+            if n >= 0.15 * size[k] and min(size[k], size[o]) >= 0.8 * max(size[k], size[o]):
+                a, b = bag(k), bag(o)
+                if len(a & b) >= 0.8 * len(a | b):
+                    group[k] = o
+    assert any(group[k] != k for k in lines)
+    out = {}
+    for k in lines:
+        kept, seen = [], set()
+        for x in lines[k]:
+            if taken(x):
+                o = first[x][0]
+                if x in seen or group[o] != group[k] or x in near and group[o] == o:
+                    seen.add(x)
                     continue
+                seen.add(x)
             kept.append(x)
         text = "\n".join(kept)
-        if words(text) or len(kept) == len(lines):
-            out[r.doc_id] = text
+        if words(text) or len(kept) == len(lines[k]):
+            out[k] = text
     assert {r.doc_id: r.text for r in after} == out
     assert all(r.n_chars == len(r.text) for r in after if r.text != next(x.text for x in before if x.doc_id == r.doc_id))
 
@@ -91,13 +116,29 @@ def test_decontamination(spark, stages):
         n = min(13, len(w))
         for i in range(len(w) - n + 1 if n else 0):
             windows.setdefault(n, set()).add(tuple(w[i : i + n]))
-    kept = set()
+
+    def hits(w):
+        return {p for n, known in windows.items() for i in range(len(w) - n + 1) if tuple(w[i : i + n]) in known for p in range(i, i + n)}
+
+    kept = {}
     for r in before:
         w = words(r.text)
-        hit = {p for n, known in windows.items() for i in range(len(w) - n + 1) if tuple(w[i : i + n]) in known for p in range(i, i + n)}
+        hit = hits(w)
         if not hit or 20 * len(hit) < len(w):
-            kept.add(r.doc_id)
-    assert {r.doc_id for r in after} == kept and len(kept) < len(before)
+            kept[r.doc_id] = (w, hit)
+    assert {r.doc_id for r in after} == set(kept) and len(kept) < len(before)
+    for r in after:
+        w, hit = kept[r.doc_id]
+        runs = "".join("x" if p in hit else " " for p in range(len(w)))
+        gone = {p for m in re.finditer("x{13,}", runs) for p in range(*m.span())}
+        if not gone:
+            assert r.text == next(x.text for x in before if x.doc_id == r.doc_id)
+        else:
+            assert words(r.text) == [x for p, x in enumerate(w) if p not in gone] or len(words(r.text)) < len(w) - len(gone)
+            assert r.n_chars == len(r.text)
+        if hit:
+            left = hits(words(r.text))
+            assert "x" * 13 not in "".join("x" if p in left else " " for p in range(len(words(r.text))))
 
 
 def test_packing(stages):

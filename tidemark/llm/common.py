@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import weakref
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +15,7 @@ from pyspark.sql import types as T
 
 from tidemark.session import ship_package
 
-#: Rows of one Arrow batch: whole texts travel in them, so the default of 10,000 could need gigabytes.
+#: Rows that a Python function sees at a time: whole texts travel in them (Spark bounds the bytes of a batch).
 BATCH_ROWS = 512
 
 #: Bytes of a text to words: A-Z lower-cased, other ASCII but digits and letters to blanks, the rest kept.
@@ -26,21 +29,48 @@ def words_of(raw: bytes) -> list[bytes]:
     return raw.translate(WORD_TABLE).split()
 
 
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    return f"file://{tempfile.mkdtemp(prefix='tidemark-shared-')}"
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """Folder that the whole cluster shares; only a session without one (tests) gets a default."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints").rstrip("/")
+    """Folder that the whole cluster shares; only a local session without one (tests) gets its own."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = _own_folder()
+    return root.rstrip("/")
+
+
+#: Folders of the tables that materialise wrote, by the id of their frames' plans.
+_WRITTEN: dict[int, str] = {}
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     It cuts the lineage, so a lost executor costs no more than the tasks of the later stage, and what
-    follows sees one fixed result however often it is read.
+    follows sees one fixed result however often it is read.  ``discard`` deletes such tables.
     """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/tidemark-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _WRITTEN[id(table)] = path
+    weakref.finalize(table, _WRITTEN.pop, id(table), None)
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``materialise`` wrote for these frames; nothing that still reads them may run afterwards."""
+    for table in tables:
+        path = _WRITTEN.pop(id(table), None)
+        if path:
+            jvm = table.sparkSession._jvm
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def held_out(doc_id: Column | str = "doc_id") -> Column:
@@ -87,8 +117,10 @@ def map_text(
     outputs: T.StructType,
     make: Callable[[], Callable[[list[bytes | None]], list[list]]],
     keep: list[str] | None = None,
+    *,
+    as_is: bool = False,
 ) -> DataFrame:
-    """Append columns that a Python function makes from the UTF-8 bytes of ``text``.
+    """Append columns that a Python function makes from the UTF-8 bytes of ``text`` (its values if ``as_is``).
 
     ``make`` is called once for each task and returns the function of a batch: bytes (or None) in,
     a list for each output column out.  ``keep`` names the columns carried along (all by default);
@@ -96,20 +128,15 @@ def map_text(
     """
     spark = df.sparkSession
     ship_package(spark)
-    bound = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
-    if not 0 < bound <= BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     new = {f.name.lower() for f in outputs}
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in new]
-    fed = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("binary").alias("__text"))
+    fed = df.select(*[F.col(f"`{c}`") for c in kept], (F.col(f"`{text}`") if as_is else F.col(f"`{text}`").cast("binary")).alias("__text"))
     schema = T.StructType([*fed.schema.fields[:-1], *outputs.fields])
     arrow = [(f.name, _arrow(f.dataType)) for f in outputs]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (whole.slice(at, BATCH_ROWS) for whole in batches for at in range(0, whole.num_rows, BATCH_ROWS)):
             made = fn(batch.column(batch.num_columns - 1).to_pylist())
             columns = [*batch.columns[:-1], *(pa.array(v, t) for v, (_, t) in zip(made, arrow, strict=True))]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], *(n for n, _ in arrow)])

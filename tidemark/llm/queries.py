@@ -26,7 +26,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
-    return decontamination.decontaminate(docs, items, keep=["doc_id"]).drop("hit_spans")
+    return decontamination.decontaminate(docs, items, keep=["doc_id"]).drop("hit_spans", "cut_spans")
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +70,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_report(_table(spark, sf_dir, "documents"), short=True, percent=line_dedup.PERCENT)
+    return line_dedup.line_report(_table(spark, sf_dir, "documents"), percent=line_dedup.PERCENT)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,14 +109,19 @@ WITH words AS (
 ), hits AS (
   SELECT d.doc_id, d.s, d.n, x.item_id
   FROM (SELECT doc_id, s, n, array_to_string(w[s:s + n - 1], ' ') AS k FROM doc_starts) AS d JOIN windows AS x ON x.n = d.n AND x.k = d.k
+), marks AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + n)) AS p FROM hits
+), runs AS (
+  SELECT doc_id, g, count(*) AS n FROM (SELECT doc_id, p - row_number() OVER (PARTITION BY doc_id ORDER BY p) AS g FROM marks) AS t GROUP BY doc_id, g
 ), places AS (
-  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) AS t GROUP BY doc_id
+  SELECT doc_id, sum(n) AS n_hit, sum(n) FILTER (n >= 13) AS n_cut FROM runs GROUP BY doc_id
 ), owners AS (
   SELECT doc_id, count(*) AS n_items, sha256(string_agg(id, ',' ORDER BY id)) AS items_sha256
   FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) AS t GROUP BY doc_id
 )
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
-       coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+       coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated,
+       CAST(coalesce(n_cut, 0) AS BIGINT) AS n_cut
 FROM words LEFT JOIN places USING (doc_id) LEFT JOIN owners USING (doc_id)
 """
 
@@ -221,11 +226,14 @@ _OP9 = r"""
 WITH lines AS (
   SELECT doc_id, pos - 1 AS pos, l[pos] AS line, len(l) AS n_lines FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents) AS d, LATERAL (SELECT unnest(range(1, len(l) + 1)) AS pos) AS p
 ), firsts AS (
-  SELECT line, length(line) AS n, min({'d': doc_id, 'p': pos}) AS first FROM lines WHERE length(line) >= 32 GROUP BY line
+  SELECT line, length(line) AS n, min({'d': doc_id, 'p': pos}) AS first FROM lines
+  WHERE length(line) >= 32 OR regexp_matches(line, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]') GROUP BY line
+), long AS (
+  SELECT * FROM firsts WHERE n >= 32
 ), parts AS (
-  SELECT line, n, first, k, substr(line, k * (n // 3) + 1, n // 3) AS part FROM firsts, range(0, 3) AS r(k)
+  SELECT line, n, first, k, substr(line, k * (n // 3) + 1, n // 3) AS part FROM long, range(0, 3) AS r(k)
 ), probes AS (
-  SELECT line, n, first, k, n + d AS other, substr(line, k * ((n + d) // 3) + 1 + m, (n + d) // 3) AS part FROM firsts, range(0, 3) AS r(k), range(-2, 3) AS e(d), range(-2, 3) AS f(m) WHERE k * ((n + d) // 3) + m >= 0
+  SELECT line, n, first, k, n + d AS other, substr(line, k * ((n + d) // 3) + 1 + m, (n + d) // 3) AS part FROM long, range(0, 3) AS r(k), range(-2, 3) AS e(d), range(-2, 3) AS f(m) WHERE k * ((n + d) // 3) + m >= 0
 ), candidates AS (
   SELECT DISTINCT a.line AS line, b.line AS earlier FROM probes AS a JOIN parts AS b ON b.n = a.other AND b.k = a.k AND b.part = a.part AND b.line <> a.line AND b.first < a.first
 ), near AS (
