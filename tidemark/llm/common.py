@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from tidemark.session import ship_package
 
-#: Rows that a Python function sees at a time: whole texts travel in them (Spark bounds the bytes of a batch).
+#: Rows of one Arrow batch: whole texts travel in them, and a task's Python worker and JVM hold several batches.
 BATCH_ROWS = 512
 
 #: Bytes of a text to words: A-Z lower-cased, other ASCII but digits and letters to blanks, the rest kept.
@@ -111,6 +111,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, max
     return docs.join(F.broadcast(_share(labels, key, rows / max(labels.count(), 1))), key)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's rows of an Arrow batch to BATCH_ROWS.
+
+    Spark reads the setting when a plan runs, not when it is made, so it can't be put back here.
+    """
+    bound = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if not 0 < bound <= BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def map_text(
     df: DataFrame,
     text: str,
@@ -128,6 +138,7 @@ def map_text(
     """
     spark = df.sparkSession
     ship_package(spark)
+    bound_batches(spark)
     new = {f.name.lower() for f in outputs}
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in new]
     fed = df.select(*[F.col(f"`{c}`") for c in kept], (F.col(f"`{text}`") if as_is else F.col(f"`{text}`").cast("binary")).alias("__text"))
@@ -136,7 +147,9 @@ def map_text(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
-        for batch in (whole.slice(at, BATCH_ROWS) for whole in batches for at in range(0, whole.num_rows, BATCH_ROWS)):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
             made = fn(batch.column(batch.num_columns - 1).to_pylist())
             columns = [*batch.columns[:-1], *(pa.array(v, t) for v, (_, t) in zip(made, arrow, strict=True))]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], *(n for n, _ in arrow)])

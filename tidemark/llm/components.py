@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise
+from tidemark.llm.common import discard, materialise
 
 
 def _hang(edges: DataFrame) -> DataFrame:
@@ -31,10 +31,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _hang(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         small = _hang(large)
-        now = materialise(
+        last, now = now, materialise(
             small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct(),
             "edges",
         )
+        discard(last)
         before, mark = mark, _mark(now)
         if mark == before:
             break

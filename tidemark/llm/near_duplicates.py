@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import map_text, materialise, words_of
+from tidemark.llm.common import bound_batches, discard, map_text, materialise, words_of
 from tidemark.llm.components import connected_components
 from tidemark.session import ship_package
 
@@ -195,6 +195,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, prefixes: float | None = None)
     side = lambda c: texts.select(F.col("digest").alias(c), F.col("text").alias(f"text_{c}"))
     fed = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", F.col("text_a").cast("binary"), F.col("text_b").cast("binary"))
     ship_package(pairs.sparkSession)
+    bound_batches(pairs.sparkSession)
 
     def compare(batches):
         import pyarrow as pa
@@ -277,13 +278,14 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
     keyed = classes.select("digest", F.explode("bands").alias("key")).distinct()
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    members = materialise(keyed.join(shared, "key"), "members")
-    rank = members.groupBy("digest").agg(F.sum("n").alias("rank"))
-    members = materialise(members.select("key", "digest").join(rank, "digest"), "ranked")
+    shared_members = materialise(keyed.join(shared, "key"), "members")
+    rank = materialise(shared_members.groupBy("digest").agg(F.sum("n").alias("rank")), "ranks")
+    members = materialise(shared_members.select("key", "digest").join(rank, "digest"), "ranked")
     wanted = rank.join(classes, "digest").select("digest", "first.k1", "first.k2")
     found = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).select("text", *_row_key("doc_id", "text")).join(wanted, ["k1", "k2"])
     texts = materialise(found.select("digest", "text").dropDuplicates(["digest"]), "texts")
 
+    discard(shared_members)
     top = members.groupBy("key").agg(F.max(F.struct("rank", "digest")).alias("top")).select("key", F.col("top.digest").alias("leader"))
     pairs = members.join(top, "key").where("digest <> leader").select(F.col("digest").alias("a"), F.col("leader").alias("b")).distinct()
     checked = materialise(_verified(pairs, texts, similarity), "checked")
@@ -295,6 +297,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         if not more.isEmpty():
             component = materialise(connected_components(links.unionByName(more)), "components")
 
+    discard(rank, members, texts, checked, left)
     grouped = classes.select("digest", "first").join(component.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
     firsts = grouped.groupBy("component").agg(F.min("first").alias("kept"))
     by_class = grouped.join(firsts, "component").select("digest", F.col("first.doc_id").alias("class_id"), "kept")
