@@ -49,7 +49,7 @@ class OrdinalModel:
 
 def fit_ordinal(indptr: np.ndarray, columns: np.ndarray, grades: np.ndarray, n_features: int, n_grades: int, *, steps: int = 200, rate: float = 0.1, l2: float = 2e-4) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ordered thresholds by full-batch Adam on the penalised likelihood of binary features."""
-    rows = np.repeat(np.arange(len(grades)), np.diff(indptr))
+    rows = np.repeat(np.arange(len(grades), dtype="int32"), np.diff(indptr))
     share = np.array([(np.sum(grades >= k) + 0.5) / (len(grades) + 1) for k in range(1, n_grades)])
     start = np.log((1 - share) / share)
     params = np.concatenate([np.zeros(n_features), [start[0]], np.log(np.maximum(np.diff(start), 0.1))])
@@ -85,7 +85,7 @@ def grades_of(toxic: np.ndarray, evidence: np.ndarray, n_grades: int = GRADES) -
 def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", max_bytes: int = SAMPLE_BYTES, n_features: int = FEATURES) -> OrdinalModel:
     """Fit on labelled documents of at most about ``max_bytes`` of text, taken by a hash of the id.
 
-    The labels are 0 or 1 (the largest wins where an id has several; null ones are left out); a toxic
+    Only the first threshold rests on labels: these are 0 or 1 (the largest wins where an id has several; null ones are left out); a toxic
     document's grade comes from how many strongly toxic features it has.  Without rows of both kinds the
     model finds nothing toxic.
     """
@@ -120,33 +120,37 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
         sizes.append(np.diff(chunk.offsets.to_numpy()))
         parts.append(chunk.flatten().to_numpy())
     del got
-    names, columns = np.unique(np.concatenate(parts).view("uint32"), return_inverse=True)
+    # numbers of four bytes and counts without weights: the sample's features are what the driver holds most of
+    names = np.unique(np.concatenate(parts).view("uint32"))
+    columns = np.concatenate([np.searchsorted(names, p.view("uint32")).astype("int32") for p in parts])
     del parts
-    sizes = np.concatenate(sizes)
-    rows_at = np.repeat(np.arange(len(toxic)), sizes)
+    rows_at = np.repeat(np.arange(len(toxic), dtype="int32"), np.concatenate(sizes))
     n1, n0 = toxic.sum(), (~toxic).sum()
-    d1 = np.bincount(columns, toxic[rows_at], len(names))
-    d0 = np.bincount(columns, ~toxic[rows_at], len(names))
+    d1 = np.bincount(columns[toxic[rows_at]], minlength=len(names))
+    d0 = np.bincount(columns, minlength=len(names)) - d1
     odds = np.log((d1 + 0.5) / (n1 + 1)) - np.log((d0 + 0.5) / (n0 + 1))
     strength = np.abs(odds) / np.sqrt(1 / (d1 + 0.5) + 1 / (d0 + 0.5))
     strength[d1 + d0 < 4] = 0
     kept = np.sort(np.argsort(-strength, kind="stable")[:n_features])
     kept = kept[strength[kept] > 2]
-    place = np.full(len(names), -1)
+    place = np.full(len(names), -1, "int32")
     place[kept] = np.arange(len(kept))
     strong = (odds > 2) & (strength > 4)
-    evidence = np.bincount(rows_at, strong[columns], len(toxic))
-    inside = place[columns] >= 0
-    indptr = np.concatenate([[0], np.cumsum(np.bincount(rows_at[inside], minlength=len(toxic)))])
-    weights, thresholds = fit_ordinal(indptr, place[columns[inside]], grades_of(toxic, evidence), len(kept), GRADES)
+    evidence = np.bincount(rows_at[strong[columns]], minlength=len(toxic))
+    columns = place[columns]
+    rows_at, columns = rows_at[columns >= 0], columns[columns >= 0]
+    indptr = np.concatenate([[0], np.cumsum(np.bincount(rows_at, minlength=len(toxic)))])
+    del rows_at
+    weights, thresholds = fit_ordinal(indptr, columns, grades_of(toxic, evidence), len(kept), GRADES)
     return OrdinalModel({int(n): float(w) for n, w in zip(names[kept], weights, strict=True) if w}, thresholds)
 
 
 def score(docs: DataFrame, model: OrdinalModel, *, text: str = "text", reject_at: float = 0.5, keep: list[str] | None = None) -> DataFrame:
     """Add severity (expected grade), p_toxic (that the grade is at least 1), grade (the likeliest) and rejected.
 
-    A null or wordless text has no features and the scores of that.  Every word of a text counts, once.
-    Repeated documents each get their row; other columns are carried, those named like a new one replaced.
+    A null or wordless text has no features and the scores of that.  Every word of a text counts, once, however
+    long it is.  Repeated documents each get their row, an empty table stays empty; other columns are carried,
+    those named like a new one replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     out = T.StructType.fromDDL("severity double, p_toxic double, grade int, rejected boolean")
