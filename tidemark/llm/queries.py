@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    ball_trees,
     decontamination,
+    hard_negatives,
     html_extraction,
     language_id,
     line_dedup,
+    mixing,
     near_duplicates,
     packing,
     preference,
@@ -79,6 +82,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, keep=["doc_id"])
 
 
+def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    return mixing.by_position(mixed, "doc_id", "size", "source_size", "target", "taken")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.select("vec_id", "embedding", label.alias("label")))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_trees.cluster(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -91,6 +109,9 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op9_line_dedup_whole": op9_line_dedup_whole,
     "op10_toxicity": op10_toxicity,
+    "op11_source_mixing": op11_source_mixing,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
 
 _OP1 = r"""
@@ -246,4 +267,82 @@ WITH lines AS (
 SELECT doc_id, CAST(coalesce(len(string_split(text, chr(10))), 0) AS BIGINT) AS n_lines, coalesce(n_exact, 0) AS n_exact, coalesce(n_near, 0) AS n_near, coalesce(removed, []::INTEGER[]) AS removed FROM documents LEFT JOIN gone USING (doc_id)
 """
 
-ORACLE_SQL = {"op5_minhash_near_dedup": _OP5, "op9_line_dedup": _OP9, "op8_preference_formatting": _OP8, "op1_decontamination": _OP1, "op6_quality_rules": _OP6}
+_WEIGHTS = ", ".join(str(float(s.weight)) for s in mixing.SCHEDULES)
+_STARTS = ", ".join(str(float(s.knots[0][1])) for s in mixing.SCHEDULES)
+_ENDS = ", ".join(str(float(s.knots[-1][1])) for s in mixing.SCHEDULES)
+
+_OP11 = rf"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, md5(CAST(doc_id AS VARCHAR)) AS k FROM documents
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.SCHEDULES)} AS INTEGER) + 1 AS turn FROM sized GROUP BY source
+), capped AS (
+  SELECT *, [{_WEIGHTS}][turn] AS w, CAST({mixing.MOST} * source_size AS DOUBLE) AS cap FROM sources
+), levels AS (
+  SELECT *, ({mixing.SHARE} * sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(w) OVER (ORDER BY cap / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM capped
+), targets AS (
+  SELECT source, source_size, turn, w, least(cap, w * (SELECT level FROM levels WHERE cap > level * w ORDER BY cap / w, source LIMIT 1)) AS target FROM levels
+), placed AS (
+  SELECT doc_id, size, source_size, target, turn, w, CAST(floor(target + 0.5) AS BIGINT) AS goal,
+         CAST(sum(size) OVER (PARTITION BY s.source ORDER BY k, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS BIGINT) AS c FROM sized AS s JOIN targets AS t ON s.source IS NOT DISTINCT FROM t.source
+), due AS (
+  SELECT *, (c / goal) * w AS q, [{_STARTS}][turn] AS a, [{_ENDS}][turn] AS b FROM placed
+)
+SELECT doc_id, size, source_size, target, CAST(greatest(0, least(size, goal - c)) + greatest(0, least(size, goal - source_size - c)) AS BIGINT) AS taken,
+       CASE WHEN size > 0 AND c < goal THEN least(2 * q / (a + sqrt(a * a + q * (2 * (b - a)))), 1.0) END AS position
+FROM due
+"""
+
+_OP12 = """
+WITH usable AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(list_filter(embedding, lambda x: NOT coalesce(isfinite(x), false))) = 0
+), scored AS (
+  SELECT a.id AS a, b.id AS b, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS s FROM usable AS a JOIN usable AS b ON a.id % 100 = 0 AND a.id <> b.id
+), positives AS (
+  SELECT a, b, s FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5
+)
+SELECT p.a AS anchor_id, p.b AS positive_id, CAST(row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.s DESC, n.b) AS INTEGER) AS rank, n.b AS negative_id, p.s AS positive_score, n.s AS negative_score
+FROM positives AS p JOIN scored AS n ON n.a = p.a AND NOT n.same AND 80 * p.s <= 100 * n.s AND 100 * n.s <= 100 * p.s
+QUALIFY row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.s DESC, n.b) <= 5
+"""
+
+
+def _rounds(rounds: int = ball_trees.ROUNDS) -> str:
+    """SQL of the centroids c0, c1, ... and assignments a0, a1, ... of all rounds."""
+    parts = []
+    for i in range(rounds + 1):
+        parts.append(
+            f"""a{i} AS MATERIALIZED (
+  SELECT row_id, arg_min(c, {{'d': d, 'c': c}}) AS c, min(d) AS d FROM (
+    SELECT v.row_id, m.c, CAST(list_inner_product(v.v, v.v) - 2 * list_inner_product(v.v, m.v) + list_inner_product(m.v, m.v) AS BIGINT) AS d FROM vectors AS v, c{i} AS m
+  ) AS t GROUP BY row_id
+)"""
+        )
+        if i < rounds:
+            parts.append(
+                f"""c{i + 1} AS MATERIALIZED (
+  SELECT m.c, coalesce(f.v, m.v) AS v FROM c{i} AS m LEFT JOIN (
+    SELECT c, list(floor(s / n) ORDER BY p) AS v FROM (
+      SELECT a.c, p, sum(v.v[p]) AS s, count(*) AS n FROM a{i} AS a JOIN vectors AS v USING (row_id), range(1, 65) AS r(p) GROUP BY a.c, p
+    ) AS sums GROUP BY c
+  ) AS f USING (c)
+)"""
+            )
+    return ", ".join(parts)
+
+
+_OP13 = f"""
+WITH vectors AS MATERIALIZED (
+  SELECT row_number() OVER () AS row_id, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: NOT coalesce(isfinite(x), false))) = 0
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c, v FROM vectors WHERE vec_id IS NOT NULL ORDER BY c LIMIT 40
+), {_rounds()}
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(list_transform(m.v, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256
+FROM a{ball_trees.ROUNDS} JOIN vectors USING (row_id) JOIN c{ball_trees.ROUNDS} AS m USING (c)
+"""
+
+ORACLE_SQL = {"op11_source_mixing": _OP11, "op12_hard_negatives": _OP12, "op13_centroid_clustering": _OP13, "op5_minhash_near_dedup": _OP5, "op9_line_dedup": _OP9, "op8_preference_formatting": _OP8, "op1_decontamination": _OP1, "op6_quality_rules": _OP6}
