@@ -141,7 +141,10 @@ def map_text(
     bound_batches(spark)
     new = {f.name.lower() for f in outputs}
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in new]
-    fed = df.select(*[F.col(f"`{c}`") for c in kept], (F.col(f"`{text}`") if as_is else F.col(f"`{text}`").cast("binary")).alias("__text"))
+    name = "fed"  # Spark looks columns up by name, so this one must be new
+    while name in {c.lower() for c in kept}:
+        name += "_"
+    fed = df.select(*[F.col(f"`{c}`") for c in kept], (F.col(f"`{text}`") if as_is else F.col(f"`{text}`").cast("binary")).alias(name))
     schema = T.StructType([*fed.schema.fields[:-1], *outputs.fields])
     arrow = [(f.name, _arrow(f.dataType)) for f in outputs]
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -202,6 +202,50 @@ def _long_runs(automaton_scan, words: list[bytes], spans: list[tuple[int, int]],
     return _merge(gone)
 
 
+def _cut_places(docs: DataFrame, text: str, hits: DataFrame, shards: Callable[[], Iterator[SuffixAutomaton]], least: int) -> DataFrame:
+    """(k1, k2, gone): places of the words that ``_long_runs`` takes out, with several automata.
+
+    What is left of a text passes all automata again until it has no long run; a later pass sees only the
+    texts that were cut in the one before.
+    """
+
+    def make():
+        def cut(texts: list[dict]) -> list[list]:
+            left, gone, places = [], [], []
+            for t in texts:
+                words, known = words_of(t["text"] or b""), json.loads(t["found"])
+                at = known.get("places") or list(range(len(words)))
+                runs = _merge([(s["start"], s["end"]) for s in known["spans"]])
+                inside = {k for a, b in runs if b - a >= least for k in range(a, b)}
+                rest = [k for k in range(len(words)) if k not in inside]
+                left.append(b" ".join(words[k] for k in rest).decode())
+                gone.append([at[k] for k in sorted(inside)])
+                places.append([at[k] for k in rest])
+            return [left, gone, places]
+
+        return cut
+
+    out = T.StructType.fromDDL("left string, gone array<long>, places array<long>")
+
+    def step(texts: DataFrame) -> DataFrame:
+        both = F.struct(F.col("text").cast("binary").alias("text"), F.to_json(F.struct("spans", "places")).alias("found")).alias("both")
+        return materialise(map_text(texts.select("k1", "k2", both), "both", out, make, ["k1", "k2"], as_is=True).where(F.size("gone") > 0), "cuts")
+
+    texts = docs.select(F.col(f"`{text}`").alias("text")).where("text IS NOT NULL").select("text", *_text_key("text")).join(hits, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
+    rounds = [step(texts.withColumn("places", F.lit(None).cast("array<long>")))]
+    while not rounds[-1].isEmpty():
+        last = rounds[-1].select("k1", "k2", "places", F.col("left").alias("text"))
+        again = _scanned(last, "text", shards())
+        found = again.select(F.col("k1").alias("l1"), F.col("k2").alias("l2"), "spans")
+        l1, l2 = _text_key("text")
+        rounds.append(step(last.withColumns({"l1": l1, "l2": l2}).join(found, ["l1", "l2"])))
+        discard(again)
+    every = reduce(DataFrame.unionByName, [r.select("k1", "k2", "gone") for r in rounds])
+    cuts = materialise(every.groupBy("k1", "k2").agg(F.flatten(F.collect_list("gone")).alias("gone")), "cuts")
+    discard(*rounds)
+    return cuts
+
+
 def decontaminate(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -223,22 +267,28 @@ def decontaminate(
     sorted, comma-joined ids), contaminated (the share of hit words is at least ``coverage``), n_cut (words
     in runs of ``longest`` hit words and more, which ``remove_cut_spans`` takes out), hit_spans and cut_spans
     (start and end in code points of each run, end exclusive; a cut run may also come from what stands on
-    both sides of another, which n_cut doesn't count and several automata don't look for).
+    both sides of another, which n_cut doesn't count).
 
     An automaton holds ``shard_words`` words of items at most and is broadcast.  More items make more
     automata, which the texts pass one after the other, only one of them in memory at a time; what they
-    find is joined to the documents.  Defined cases: a null or wordless text has no words and is not
+    find is joined to the documents, and what is left of a cut text passes them all again, so the result is
+    the same with any number of automata.  Defined cases: a null or wordless text has no words and is not
     contaminated; a very long text streams through like any other; null items are skipped, items with a
     null id mark words but are not named, repeated items count once by id; an empty benchmark hits nothing
     and an empty table stays empty; repeated documents each get their row; other columns are carried, those
     named like a new one are replaced.
     """
     sc = docs.sparkSession.sparkContext
-    shards = automata(benchmark, item, item_text, window, shard_words)
-    one, two = next(shards, None), next(shards, None)
+
+    def shards() -> Iterator[SuffixAutomaton]:
+        return automata(benchmark, item, item_text, window, shard_words)
+
+    first = shards()
+    one, two = next(first, None), next(first, None)
     shared, hits = None, None
     if two is not None:
-        hits = _scanned(docs, text, chain([one, two], shards))
+        hits = _scanned(docs, text, shards())
+        hits = hits.join(_cut_places(docs, text, hits, shards, longest), ["k1", "k2"], "left")
     elif one is not None:
         shared = sc.broadcast(one)
     num, den = coverage
@@ -247,10 +297,9 @@ def decontaminate(
         " hit_spans array<struct<start: long, end: long>>, cut_spans array<struct<start: long, end: long>>"
     )
 
-    def row(raw: bytes | None, words: list[bytes], spans: list[tuple[int, int]], names: list[str], scan) -> tuple:
+    def row(raw: bytes | None, words: list[bytes], spans: list[tuple[int, int]], names: list[str], cut: list[tuple[int, int]]) -> tuple:
         ids = sorted(names, key=str.encode)
         n_hit = sum(b - a for a, b in spans)
-        cut = _long_runs(scan, words, spans, longest) if spans else []
         hit_at, cut_at = [], []
         if spans:
             places = [m.span() for m in _WORD.finditer(raw.decode())]
@@ -270,7 +319,8 @@ def decontaminate(
                     words = words_of(raw or b"")
                     spans, found = automaton.scan(words) if automaton else ([], set())
                     names = {x for x in (automaton.names[k] for k in found) if x is not None}
-                    rows.append(row(raw, words, spans, list(names), lambda w: automaton.scan(w)[0]))
+                    cut = _long_runs(lambda w: automaton.scan(w)[0], words, spans, longest) if spans else []
+                    rows.append(row(raw, words, spans, list(names), cut))
                 return [list(c) for c in zip(*rows, strict=True)]
 
             return measure
@@ -280,7 +330,7 @@ def decontaminate(
     # the row travels as one value, so that no column of it can clash
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     joined = docs.select(whole, F.col(f"`{text}`").alias("text"), *_text_key(f"`{text}`")).join(hits, ["k1", "k2"], "left")
-    ready = joined.select("row", "text", F.to_json(F.struct("spans", "names")).alias("found"))
+    ready = joined.select("row", "text", F.to_json(F.struct("spans", "names", "gone")).alias("found"))
     fed = ready.select("row", F.struct(F.col("text").cast("binary").alias("text"), "found").alias("both"))
 
     def make_joined():
@@ -290,7 +340,8 @@ def decontaminate(
                 raw, words = pair["text"], words_of(pair["text"] or b"")
                 found = json.loads(pair["found"])
                 spans = _merge([(s["start"], s["end"]) for s in found.get("spans", [])])
-                rows.append(row(raw, words, spans, found.get("names", []), lambda w: []))
+                cut = _merge([(k, k + 1) for k in found.get("gone", [])])
+                rows.append(row(raw, words, spans, found.get("names", []), cut))
             return [list(c) for c in zip(*rows, strict=True)]
 
         return measure

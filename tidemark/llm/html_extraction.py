@@ -486,13 +486,11 @@ def default_model(pages: int = 1500, seed: int = 11) -> DomModel:
     return fit([maker.page() for _ in range(pages)])
 
 
-def main_text(page: str, model: DomModel, threshold: float = 0.5, least: float = 0.05) -> str:
-    """Blocks whose marginal reaches ``threshold``; where none does, those of half the highest and ``least``."""
+def main_text(page: str, model: DomModel, threshold: float = 0.5) -> str:
+    """Blocks whose marginal reaches ``threshold``; a page without such blocks has no main text."""
     tree = parse(page)
     blocks = [(t, p) for t, p in zip(tree.text, model.marginals(tree), strict=True) if t is not None]
-    top = max((p for _, p in blocks), default=0.0)
-    cut = threshold if top >= threshold else max(least, top / 2)
-    return "\n\n".join(t for t, p in blocks if p >= cut)
+    return "\n\n".join(t for t, p in blocks if p >= threshold)
 
 
 def extract(pages: DataFrame, model: DomModel | None = None, *, html_column: str = "html", threshold: float = 0.5, keep: list[str] | None = None) -> DataFrame:

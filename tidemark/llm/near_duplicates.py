@@ -311,6 +311,19 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     )
 
 
+def copies_of_first(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """(k1, k2, g1, g2): rows that ``near_duplicates`` finds to be copies, and the row that their group keeps.
+
+    Rows without words, and groups of one row, don't appear; an empty table has no copies.
+    """
+    flags = materialise(near_duplicates(docs, doc_id=doc_id, text=text, similarity=similarity), "flags")
+    kept = flags.where("keep").groupBy("group_id").agg(F.min(F.struct("k1", "k2")).alias("g"))
+    found = flags.where("NOT keep").select("group_id", "k1", "k2").distinct().join(kept, "group_id")
+    copies = materialise(found.select("k1", "k2", F.col("g.k1").alias("g1"), F.col("g.k2").alias("g2")), "copies")
+    discard(flags)
+    return copies
+
+
 def drop_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """The documents without all but one of each group; the columns are those of ``docs``."""
     flags = near_duplicates(docs, doc_id=doc_id, text=text, similarity=similarity)

@@ -74,9 +74,14 @@ def echoed(conversations: DataFrame, *, conv: str = "conv_id", turn: str = "turn
     """The conversations with their last assistant turn replaced by the text of the turn before it.
 
     A rejected side for tables that have none: an answer that only repeats what was said.  A conversation
-    without an assistant turn is unchanged; an assistant turn without one before it becomes empty.
+    without an assistant turn is unchanged; an assistant turn without one before it becomes empty.  All
+    columns are carried, whatever their names.
     """
-    order = Window.partitionBy(conv).orderBy(turn, role, text)
-    numbered = conversations.withColumn("__n", F.row_number().over(order)).withColumn("__before", F.coalesce(F.lag(text).over(order), F.lit("")))
-    last = F.max(F.when(F.col(role) == "assistant", F.col("__n"))).over(Window.partitionBy(conv))
-    return numbered.withColumn("__last", last).withColumn(text, F.when(F.col("__n") == F.col("__last"), F.col("__before")).otherwise(F.col(text))).drop("__n", "__before", "__last")
+    # the row travels as one value, so that no column of it can clash
+    turns = conversations.select(F.struct(*[F.col(f"`{c}`") for c in conversations.columns]).alias("row"))
+    key, of = F.col("row")[conv], F.col("row")[role]
+    order = Window.partitionBy(key).orderBy(F.col("row")[turn], of, F.col("row")[text])
+    numbered = turns.select("row", F.row_number().over(order).alias("n"), F.coalesce(F.lag(F.col("row")[text]).over(order), F.lit("")).alias("before"))
+    marked = numbered.withColumn("last", F.max(F.when(of == "assistant", F.col("n"))).over(Window.partitionBy(key)))
+    said = F.when(F.col("n") == F.col("last"), F.col("before")).otherwise(F.col("row")[text])
+    return marked.select(*[(said if c == text else F.col("row")[c]).alias(c) for c in conversations.columns])
