@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import bucket, stable_hash, unit_interval
+from tidemark.operators.matching import assign
+from tidemark.shared import numbered
 
 
 def stratified_sample(rows: DataFrame, strata: list[str], key: str, k: int, seed: str) -> DataFrame:
@@ -83,40 +85,17 @@ def tool_pool(needs: DataFrame, tools: DataFrame, size: int, seed: str) -> DataF
 def interleaved_schedule(counts: DataFrame) -> DataFrame:
     """task and quota to a round-robin order: first of each task, then second ..., with the place in all."""
     rounds = counts.where("quota > 0").select("task", F.explode(F.sequence(F.lit(1), "quota")).alias("round"))
-    return rounds.select("task", "round", F.row_number().over(Window.orderBy("round", "task")).alias("place"))
+    return numbered(rounds, "round", "task").select("task", "round", (F.col("place") + 1).cast("int").alias("place"))
 
 
 def assign_in_order(specs: DataFrame, scenarios: DataFrame) -> DataFrame:
     """Each spec, in order, takes the first unused scenario that fits; leftovers go round the fitting specs.
 
     ``specs`` has task, spec, ord and pattern, ``scenarios`` task, scenario, ord and pattern (a null spec
-    pattern fits all).  The fold is sequential within a task, whose lists are plans of bounded length, and
-    parallel between tasks.
+    pattern fits all); see matching.assign.
     """
-    import pandas as pd
-
-    left = specs.withColumn("kind", F.lit("spec")).select("task", F.col("spec").alias("name"), "ord", "pattern", "kind")
-    right = scenarios.withColumn("kind", F.lit("scenario")).select("task", F.col("scenario").alias("name"), "ord", "pattern", "kind")
-
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["ord", "name"])
-        wants = rows[rows.kind == "spec"][["name", "pattern"]].values.tolist()
-        free = dict(rows[rows.kind == "scenario"][["name", "pattern"]].values.tolist())
-        fits = lambda want, have: want is None or pd.isna(want) or want == have
-        got, offset = [], 0
-        for name, want in wants:
-            hit = next((s for s, have in free.items() if fits(want, have)), None)
-            if hit is not None:
-                got.append((hit, name, 1))
-                del free[hit]
-        for s, have in free.items():
-            able = [n for n, want in wants if fits(want, have)] or [n for n, _ in wants]
-            if able:
-                got.append((s, able[offset % len(able)], 2))
-                offset += 1
-        return pd.DataFrame(got, columns=["scenario", "spec", "turn"]).assign(task=rows.task.iloc[0])[["task", "scenario", "spec", "turn"]]
-
-    return left.unionByName(right).groupBy("task").applyInPandas(fold, "task string, scenario string, spec string, turn int")
+    one = F.when(F.col("pattern").isNotNull(), F.array("pattern"))
+    return assign(specs.select("task", "spec", "ord", one.alias("patterns")), scenarios)
 
 
 def split_by_group(rows: DataFrame, group: str, shares: tuple[int, int] = (80, 10)) -> DataFrame:

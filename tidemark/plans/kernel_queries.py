@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,15 +10,11 @@ from tidemark.operators import generators as gn
 from tidemark.operators import kernels as kn
 from tidemark.operators.text_similarity import similar_texts
 from tidemark.plans.panel_queries import _FILLED, _filled, _t
+from tidemark.shared import shared_path
 from tidemark.sources.records import contiguous_prefix, embedded_pairs, first_series
 from tidemark.streaming import incremental as st
 
 
-def _shared(s: SparkSession, name: str) -> str:
-    root = (s.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints").rstrip("/")
-    return f"{root}/tidemark-{name}-{uuid.uuid4().hex}"
-
-
 def near_questions(s: SparkSession, d: str) -> DataFrame:
     turns = _t(s, d, "conversations").where("role = 'user'").select((F.col("conv_id") * 1000 + F.col("turn")).alias("ord"), "text")
     return similar_texts(turns, "ord", "text")
@@ -28,16 +22,16 @@ def near_questions(s: SparkSession, d: str) -> DataFrame:
 
 def streaming_windows(s: SparkSession, d: str) -> DataFrame:
     stream = st.daily_counts(st.event_stream(s, d))
-    target = _shared(s, "daily")
-    st.run_available(stream, target, _shared(s, "daily-state"), ["day", "event_type"])
+    target = shared_path(s, "daily")
+    st.run_available(stream, target, shared_path(s, "daily-state"), ["day", "event_type"])
     days = F.datediff(F.col("day").cast("timestamp_ntz").cast("date"), F.lit("2024-01-01").cast("date"))
     return s.read.parquet(target).select(days.alias("day"), "event_type", "n", F.round("total", 4).alias("total"))
 
 
 def incremental_append(s: SparkSession, d: str) -> DataFrame:
     stream = st.event_stream(s, d).select("event_id", "user_id", "event_type")
-    target = _shared(s, "append")
-    st.run_available(stream, target, _shared(s, "append-state"), ["event_id"], "append")
+    target = shared_path(s, "append")
+    st.run_available(stream, target, shared_path(s, "append-state"), ["event_id"], "append")
     return s.read.parquet(target).select("event_id", "user_id", "event_type")
 
 
