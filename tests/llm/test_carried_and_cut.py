@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, html_extraction, language_id, line_dedup, near_duplicates, preference
+from tidemark.llm import decontamination, html_extraction, language_id, near_duplicates, preference
 from tidemark.llm.common import words_of
 from tidemark.llm.html_extraction import default_model, main_text
 
@@ -100,24 +100,25 @@ def test_a_page_without_an_article_has_no_text(page):
     assert main_text(page, default_model()) == ""
 
 
-def test_lines_of_known_copies_are_spared(spark):
-    long = [f"line {k} of this text has words that stand nowhere else, number {k * 7919}" for k in range(9)]
-    rows = [(1, "\n".join(long)), (2, "\n".join(long[:8] + ["quite another line that ends this copy of the text"])), (3, "\n".join(["a text of its own"] + long[:1]))]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    copies = near_duplicates.copies_of_first(docs, similarity=0.7)
-    assert copies.count() == 1
-    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs, copies=copies).collect()}
-    assert got == {1: rows[0][1], 2: rows[1][1], 3: "a text of its own"}
+def test_copies_of_untouched_texts_go(spark):
+    words = [f"w{k}" for k in range(60)]
+    before = [(1, " ".join(words)), (2, " ".join(words[:58])), (3, "another text of its own words"), (4, " ".join(words[:57])), (None, " ".join(words))]
+    now = [(2, " ".join(words[:9])), (3, "another text of its own words"), (4, "w0 w1"), (None, " ".join(words))]
+    docs = spark.createDataFrame(now, "doc_id long, text string").withColumn("copy", F.lit("x"))
+    got = near_duplicates.drop_near_duplicates(docs, untouched=spark.createDataFrame(before, "doc_id long, text string"))
+    assert got.columns == docs.columns
+    assert {r.doc_id for r in got.collect()} == {2, 3, None}
 
 
 def test_the_pipeline_keeps_near_copies_together(spark):
     """Of what op5 finds to be near copies, nine in ten are gone after the line and near stages."""
     import corpus_pipeline
 
-    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
     flags = near_duplicates.near_duplicates(docs).collect()
     near = {r.doc_id for r in flags if not r.keep and r.class_id != r.group_id}
-    after = corpus_pipeline.drop_near_copies(spark, corpus_pipeline.drop_repeated_lines(spark, docs, ""), "")
+    after = corpus_pipeline.drop_near_copies(spark, corpus_pipeline.drop_repeated_lines(spark, docs, sf), sf)
     left = {r.doc_id for r in after.select("doc_id").collect()}
     assert len(near) > 20 and len(near - left) >= 0.9 * len(near)
     exact = {r.doc_id for r in flags if not r.keep and r.class_id == r.group_id}

@@ -428,7 +428,7 @@ def near_copies(docs: DataFrame, repeated: DataFrame, *, doc_id: str = "doc_id",
 
 
 def duplicate_lines(
-    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", tau: int = THRESHOLD, min_chars: int = MIN_CHARS, short: bool = True, percent: int = 0, spare_copies: bool = False, copies: DataFrame | None = None
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", tau: int = THRESHOLD, min_chars: int = MIN_CHARS, short: bool = True, percent: int = 0, spare_copies: bool = False
 ) -> DataFrame:
     """k1, k2, doc_id, pos and kind ("exact" or "near") of each line that repeats an earlier one.
 
@@ -439,8 +439,7 @@ def duplicate_lines(
 
     With ``spare_copies`` whole documents that are near copies are left to the operator for these: what a
     line's first document and its near copies share stays in all of them, and goes everywhere else.
-    Repeats within a document go, and so do near lines but those first seen in a near copy.  ``copies`` are
-    the near copies (k1, k2) and the firsts of their groups (g1, g2) where they are known already.
+    Repeats within a document go, and so do near lines but those first seen in a near copy.
     """
     lines = lines_of(docs, doc_id=doc_id, text=text, min_chars=min_chars, short=short)
     where = F.struct("doc_id", "k1", "k2", "pos")
@@ -465,16 +464,16 @@ def duplicate_lines(
     marked = classes.join(near.distinct().withColumn("near", F.lit(True)), ["h1", "h2"], "left")
     kind = F.when(F.col("first") != where, "exact").when(F.col("near"), "near")
     gone = places.join(marked, ["h1", "h2"]).withColumn("kind", kind).where("kind IS NOT NULL")
-    if spare_copies or copies is not None:
-        gone = _sparing(docs, gone, doc_id, text, copies)
+    if spare_copies:
+        gone = _sparing(docs, gone, doc_id, text, (places, classes))
     return gone.select("k1", "k2", "doc_id", "pos", "kind").distinct()
 
 
-def _sparing(docs: DataFrame, gone: DataFrame, doc_id: str, text: str, copies: DataFrame | None) -> DataFrame:
-    """``gone`` without the lines that near copies have in common with the first of them."""
+def _sparing(docs: DataFrame, gone: DataFrame, doc_id: str, text: str, read: tuple[DataFrame, ...]) -> DataFrame:
+    """``gone`` without the lines that near copies have in common with the first of them; ``read`` are tables behind it."""
     gone = materialise(gone.select("k1", "k2", "doc_id", "pos", "n", "h1", "h2", "near", "kind", F.col("first.k1").alias("o1"), F.col("first.k2").alias("o2")), "line-gone")
-    if copies is None:
-        copies = near_copies(docs, gone.where("kind = 'exact'"), doc_id=doc_id, text=text)
+    discard(*read)
+    copies = near_copies(docs, gone.where("kind = 'exact'"), doc_id=doc_id, text=text)
     few = _few(copies)
     of_first = few.select(F.col("k1").alias("o1"), F.col("k2").alias("o2"), F.col("g1").alias("f1"), F.col("g2").alias("f2"))
     grouped = gone.join(few, ["k1", "k2"], "left").join(of_first, ["o1", "o2"], "left")
@@ -483,25 +482,26 @@ def _sparing(docs: DataFrame, gone: DataFrame, doc_id: str, text: str, copies: D
     near = F.coalesce("near", F.lit(False)) & F.col("f1").isNull()
     spared = inside & ((elsewhere & ~near) | ((F.col("kind") == "near") & ~near))
     flagged = materialise(grouped.select("k1", "k2", "doc_id", "pos", "h1", "h2", "kind", spared.alias("spared")), "line-flagged")
+    discard(gone, copies)
     # a line that a near copy has several times stays at the first place
     kept = flagged.where("spared").groupBy("k1", "k2", "h1", "h2").agg(F.min("pos").alias("pos"))
     return flagged.join(kept.select("k1", "k2", "pos"), ["k1", "k2", "pos"], "left_anti")
 
 
 def dedup_lines(
-    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", tau: int = THRESHOLD, min_chars: int = MIN_CHARS, short: bool = True, percent: int = 0, spare_copies: bool = False, copies: DataFrame | None = None
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", tau: int = THRESHOLD, min_chars: int = MIN_CHARS, short: bool = True, percent: int = 0, spare_copies: bool = False
 ) -> DataFrame:
     """``docs`` without repeated lines in ``text``, with n_lines, n_exact and n_near (lines removed).
 
     Lines of at least ``min_chars`` code points are compared by edits, with ``short`` others with a word for equality;
     ``percent`` lets the edits grow with the lines, ``spare_copies`` leaves near copies of whole documents
-    alone, those in ``copies`` if they are known (see duplicate_lines).  Defined cases: a null text stays null with no lines, an empty one has one
+    alone (see duplicate_lines).  Defined cases: a null text stays null with no lines, an empty one has one
     empty line; rows with the same id and text are one document to the comparison and keep the same lines;
     a document may end up empty; a very long line is compared whole, a very long text line by line; of lines
     with equal places none exists, so ties can't arise; an empty table gives an empty result; other columns
     are carried, those named like a new one replaced.
     """
-    gone = duplicate_lines(docs, doc_id=doc_id, text=text, tau=tau, min_chars=min_chars, short=short, percent=percent, spare_copies=spare_copies, copies=copies)
+    gone = duplicate_lines(docs, doc_id=doc_id, text=text, tau=tau, min_chars=min_chars, short=short, percent=percent, spare_copies=spare_copies)
     by_doc = gone.groupBy("k1", "k2").agg(
         F.collect_list("pos").alias("gone"), F.count_if(F.col("kind") == "exact").alias("exact"), F.count_if(F.col("kind") == "near").alias("near")
     )

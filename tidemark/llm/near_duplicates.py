@@ -256,7 +256,7 @@ def _open_pairs(checked: DataFrame, component: DataFrame, similarity: float) ->
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, among: DataFrame | None = None) -> DataFrame:
     """doc_id, class_id, group_id and keep of each document, with k1 and k2 (which tell rows apart).
 
     Documents with the same words are a class, named by its least id.  Classes that share a band are
@@ -269,10 +269,12 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
     Defined cases: a document without words (or a null text) is a class and group of its own; documents
     with fewer than five words are one shingle; rows with the same id and text share their flags; null ids
-    come first; an empty table gives an empty result; other columns play no part.
+    come first; an empty table gives an empty result; other columns play no part.  With ``among`` (doc_id) only
+    rows with one of these ids count.
     """
     limit = 1 - similarity + 1e-12
-    rows = materialise(_sketches(docs, doc_id, text), "sketches")
+    sketches = _sketches(docs, doc_id, text)
+    rows = materialise(sketches if among is None else sketches.join(among, "doc_id", "left_semi"), "sketches")
     me = F.struct("doc_id", "k1", "k2")
     classes = materialise(rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min(me).alias("first"), F.any_value("bands").alias("bands")), "classes")
 
@@ -301,7 +303,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     grouped = classes.select("digest", "first").join(component.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
     firsts = grouped.groupBy("component").agg(F.min("first").alias("kept"))
     by_class = grouped.join(firsts, "component").select("digest", F.col("first.doc_id").alias("class_id"), "kept")
-    return rows.drop("bands").join(by_class, "digest", "left").select(
+    flags = rows.drop("bands").join(by_class, "digest", "left").select(
         "doc_id",
         F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("kept.doc_id")).alias("group_id"),
@@ -309,25 +311,26 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         "k1",
         "k2",
     )
+    out = materialise(flags, "flags")
+    discard(rows, classes, component)
+    return out
 
 
-def copies_of_first(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """(k1, k2, g1, g2): rows that ``near_duplicates`` finds to be copies, and the row that their group keeps.
+def drop_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, untouched: DataFrame | None = None) -> DataFrame:
+    """The documents without all but one of each group; the columns are those of ``docs``.
 
-    Rows without words, and groups of one row, don't appear; an empty table has no copies.
+    ``untouched`` has the texts of the same documents (doc_id, text) before something was cut out of them.  Then
+    documents go, too, whose untouched text is a copy of that of another one in ``docs`` with a lesser id; those
+    with a null id, and ids that ``docs`` doesn't have, play no part in that.
     """
-    flags = materialise(near_duplicates(docs, doc_id=doc_id, text=text, similarity=similarity), "flags")
-    kept = flags.where("keep").groupBy("group_id").agg(F.min(F.struct("k1", "k2")).alias("g"))
-    found = flags.where("NOT keep").select("group_id", "k1", "k2").distinct().join(kept, "group_id")
-    copies = materialise(found.select("k1", "k2", F.col("g.k1").alias("g1"), F.col("g.k2").alias("g2")), "copies")
-    discard(flags)
-    return copies
-
-
-def drop_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """The documents without all but one of each group; the columns are those of ``docs``."""
     flags = near_duplicates(docs, doc_id=doc_id, text=text, similarity=similarity)
     kept = flags.where("keep").select("k1", "k2").distinct()
     # the row travels as one value, so that no column of it can clash
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    return docs.select(row, *_row_key(doc_id, text)).join(kept, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("row.*")
+    left = docs.select(row, *_row_key(doc_id, text)).join(kept, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("row")
+    if untouched is not None:
+        own = materialise(docs.select(F.col(doc_id).alias("doc_id")).where("doc_id IS NOT NULL").distinct(), "ids")
+        before = near_duplicates(untouched, doc_id=doc_id, text=text, similarity=similarity, among=own)
+        copies = before.groupBy("doc_id").agg(F.max("keep").alias("kept")).where("NOT kept").select(F.col("doc_id").alias("copy"))
+        left = left.join(copies, F.col("row")[doc_id] == F.col("copy"), "left_anti")
+    return left.select("row.*")
