@@ -25,11 +25,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that repeat an earlier one; n_chars follows the text.
 
-    Near copies of whole documents, found on the texts as they are, keep the lines that they share: taken apart
-    they would no longer look like each other to the next stage.  A document all of whose words stood in repeated lines goes.  A null or
+    Near copies of whole documents keep the lines that they share: taken apart they would no longer look like
+    each other to the next stage.  A document all of whose words stood in repeated lines goes.  A null or
     empty text stays as it is.
     """
-    clean = line_dedup.dedup_lines(docs, copies=near_duplicates.copies_of_first(docs))
+    clean = line_dedup.dedup_lines(docs, spare_copies=True)
     changed = F.col("n_exact") + F.col("n_near") > 0
     emptied = changed & (F.translate("text", _WORDLESS, "") == "")
     return _counted(clean.where(~F.coalesce(emptied, F.lit(False))), docs, changed)
@@ -44,8 +44,11 @@ def _counted(changed_docs: DataFrame, docs: DataFrame, changed: Column) -> DataF
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, that with the least id; documents without words all stay."""
-    return near_duplicates.drop_near_duplicates(docs)
+    """One document of each near-duplicate group, that with the least id; documents without words all stay.
+
+    Groups are looked for in the texts as they are here and as they were before lines were taken out of them.
+    """
+    return near_duplicates.drop_near_duplicates(docs, untouched=spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
