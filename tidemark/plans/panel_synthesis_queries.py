@@ -14,9 +14,9 @@ _PATTERNS = [*fp.KINDS, "multi_period", "covariates"]
 _TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
-def scenarios(s: SparkSession, d: str) -> DataFrame:
+def scenarios(s: SparkSession, d: str, until: str = "9999-01-01") -> DataFrame:
     """A user as a scenario: its events give the length, their kinds the width, the commonest kind the pattern."""
-    events = _t(s, d, "events").groupBy("user_id", "event_type").agg(F.count("*").alias("c"))
+    events = _t(s, d, "events").where(F.col("ts") < F.lit(until).cast("timestamp_ntz")).groupBy("user_id", "event_type").agg(F.count("*").alias("c"))
     users = events.groupBy("user_id").agg(F.sum("c").alias("all"), F.count("*").alias("kinds"), F.min(F.struct(-F.col("c"), F.col("event_type"))).alias("e"))
     at = 2 * (F.array_position(F.array(*map(F.lit, _TYPES)), F.col("e.event_type")) - 1) + F.col("all") % 2
     n, k = F.greatest(F.lit(60), F.col("all")).cast("int"), (F.col("kinds") + 1).cast("int")
