@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.functions.stats import r6
+from tidemark.operators.quantiles import exact_quantiles
 
 
 def _series() -> WindowSpec:
@@ -141,10 +142,10 @@ def covariate_effects(filled: DataFrame, lag: int = 2) -> DataFrame:
 def residual_summary(rows: DataFrame, by: list[str], actual: str = "actual", predicted: str = "predicted") -> DataFrame:
     """Bias, absolute and squared error, tails and count of predictions by group."""
     e = F.col(actual) - F.col(predicted)
-    return rows.groupBy(*by).agg(
-        F.count("*").alias("n"), F.round(F.avg(e), 4).alias("bias"), F.round(F.avg(F.abs(e)), 4).alias("mae"), F.round(F.sqrt(F.avg(e * e)), 4).alias("rmse"),
-        F.round(F.percentile(F.abs(e), F.lit(0.9)), 4).alias("p90"), F.round(F.percentile(F.abs(e), F.lit(0.99)), 4).alias("p99"),
-    )
+    means = rows.groupBy(*by).agg(F.count("*").alias("n"), F.round(F.avg(e), 4).alias("bias"), F.round(F.avg(F.abs(e)), 4).alias("mae"), F.round(F.sqrt(F.avg(e * e)), 4).alias("rmse"))
+    tails = exact_quantiles(rows, by, F.abs(e), [0.9, 0.99]).alias("t")
+    met = means.alias("m").join(tails, [F.col(f"m.{c}").eqNullSafe(F.col(f"t.{c}")) for c in by], "left")
+    return met.select("m.*", F.round("q0", 4).alias("p90"), F.round("q1", 4).alias("p99"))
 
 
 def interval_coverage(rows: DataFrame, groups: list[str], level: float = 0.72) -> DataFrame:
@@ -152,7 +153,7 @@ def interval_coverage(rows: DataFrame, groups: list[str], level: float = 0.72) -
 
     The half width is the ``level`` quantile of absolute residuals over all rows, a single number.
     """
-    half = rows.agg(F.percentile(F.abs(F.col("actual") - F.col("predicted")), F.lit(level)).alias("half"))
+    half = exact_quantiles(rows, [], F.abs(F.col("actual") - F.col("predicted")), [level]).select(F.col("q0").alias("half"))
     inside = F.coalesce((F.abs(F.col("actual") - F.col("predicted")) <= F.col("half")).cast("int"), F.lit(0))
     wide = rows.join(F.broadcast(half)).withColumn("inside", inside)
     sets = [[], *[[g] for g in groups]]
@@ -163,7 +164,7 @@ def interval_coverage(rows: DataFrame, groups: list[str], level: float = 0.72) -
 def drift_index(rows: DataFrame, value: str, late: Column, bins: int = 10) -> DataFrame:
     """Population stability index of ``value`` between rows before and after, over quantile bins of those before."""
     flagged = rows.select(F.col(value).alias("v"), late.alias("late")).where("v IS NOT NULL AND late IS NOT NULL")
-    cuts = flagged.where("NOT late").agg(F.percentile("v", F.array(*[F.lit(k / bins) for k in range(1, bins)])).alias("cuts"))
+    cuts = exact_quantiles(flagged.where("NOT late"), [], F.col("v"), [k / bins for k in range(1, bins)]).select(F.array(*[f"q{k}" for k in range(bins - 1)]).alias("cuts"))
     binned = flagged.join(F.broadcast(cuts)).withColumn("bin", F.size(F.filter("cuts", lambda c: c < F.col("v"))))
     counts = binned.groupBy("bin").agg(F.count_if(~F.col("late")).alias("before"), F.count_if(F.col("late")).alias("after"))
     total = counts.agg(F.sum("before").alias("tb"), F.sum("after").alias("ta"))
@@ -189,7 +190,7 @@ def model_tradeoff(filled: DataFrame, window: int = 72) -> DataFrame:
 
 def residual_spread(rows: DataFrame, bins: int = 8) -> DataFrame:
     """Variance of residuals by bins of the predicted value, cut at its quantiles."""
-    cuts = rows.agg(F.percentile("predicted", F.array(*[F.lit(k / bins) for k in range(1, bins)])).alias("cuts"))
+    cuts = exact_quantiles(rows, [], F.col("predicted"), [k / bins for k in range(1, bins)]).select(F.array(*[f"q{k}" for k in range(bins - 1)]).alias("cuts"))
     binned = rows.join(F.broadcast(cuts)).withColumn("bin", F.size(F.filter("cuts", lambda c: c < F.col("predicted"))))
     e = F.col("actual") - F.col("predicted")
     return binned.groupBy("bin").agg(F.count("*").alias("n"), F.round(F.avg(e), 4).alias("bias"), F.round(F.stddev_pop(e), 4).alias("spread"))

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.session import ship_package
@@ -135,6 +135,12 @@ def dtw(a: np.ndarray, b: np.ndarray, band: int | None = None) -> float:
     return float(last[-1])
 
 
+def _named_pairs(filled: DataFrame, which: Column) -> DataFrame:
+    """Pairs (a, b) of series by name alone; the series themselves are joined to them by equality."""
+    names = filled.select(F.col("series_id").alias("a")).distinct()
+    return names.join(names.withColumnRenamed("a", "b"), which)
+
+
 def dtw_pairs(filled: DataFrame, band: int | None = None) -> DataFrame:
     """Warping distance of each pair of standardised series, over all paths unless a ``band`` is asked for."""
     ship_package(filled.sparkSession)
@@ -146,7 +152,7 @@ def dtw_pairs(filled: DataFrame, band: int | None = None) -> DataFrame:
         z = lambda v: (np.asarray(v) - np.mean(v)) / (np.std(v) + 1e-8)
         return pd.Series([round(dtw(z(p), z(q), band), 6) for p, q in zip(x, y, strict=True)])
 
-    return a.join(b, F.col("a") < F.col("b")).select("a", "b", cost("x", "y").alias("dtw"))
+    return _named_pairs(filled, F.col("a") < F.col("b")).join(a, "a").join(b, "b").select("a", "b", cost("x", "y").alias("dtw"))
 
 
 def granger_f(filled: DataFrame, lags: int = 3) -> DataFrame:
@@ -169,4 +175,4 @@ def granger_f(filled: DataFrame, lags: int = 3) -> DataFrame:
 
         return pd.Series([round(one(np.asarray(p), np.asarray(q)), 6) for p, q in zip(x, y, strict=True)])
 
-    return a.join(b, F.col("a") != F.col("b")).select("a", "b", stat("x", "y").alias("f"))
+    return _named_pairs(filled, F.col("a") != F.col("b")).join(a, "a").join(b, "b").select("a", "b", stat("x", "y").alias("f"))

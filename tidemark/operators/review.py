@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.quantiles import earlier_rows
+
 
 def review_conversations(turns: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
     """Flags, score and verdict of each conversation by the grammar system?, user, (assistant, user)*, assistant.
@@ -96,8 +98,7 @@ def exact_duplicates(rows: DataFrame, text: Column, by: list[str]) -> DataFrame:
 
 def prefix_uses(rows: DataFrame, key: str, prefix: Column, most: int = 2) -> DataFrame:
     """How many earlier rows (by key) open alike, and whether that is still under ``most``."""
-    order = Window.partitionBy("prefix").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    return rows.select(key, prefix.alias("prefix")).withColumn("earlier", F.count("*").over(order)).withColumn("ok", F.col("earlier") < most)
+    return earlier_rows(rows.select(key, prefix.alias("prefix")), key, "prefix").withColumn("ok", F.col("earlier") < most)
 
 
 def chat_export(turns: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:

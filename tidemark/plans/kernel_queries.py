@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.stats import r6
 from tidemark.operators import generators as gn
 from tidemark.operators import kernels as kn
-from tidemark.operators.text_similarity import similar_texts
+from tidemark.operators.text_similarity import text_classes
 from tidemark.plans.panel_queries import _FILLED, _filled, _t
 from tidemark.shared import shared_path
 from tidemark.sources.records import contiguous_prefix, embedded_pairs, first_series
@@ -16,8 +16,11 @@ from tidemark.streaming import incremental as st
 
 
 def near_questions(s: SparkSession, d: str) -> DataFrame:
-    turns = _t(s, d, "conversations").where("role = 'user'").select((F.col("conv_id") * 1000 + F.col("turn")).alias("ord"), "text")
-    return similar_texts(turns, "ord", "text")
+    """The first line of each document: the class of those with the same one, and its number of links to nearly equal ones."""
+    firsts = _t(s, d, "documents").select("doc_id", F.get(F.split("text", "\n"), F.lit(0)).alias("line")).where(F.length("line") >= 20)
+    members, links = text_classes(firsts, "doc_id", "line")
+    ends = links.select(F.explode(F.array("class_a", "class_b")).alias("class")).groupBy("class").agg(F.count("*").alias("links"))
+    return members.join(ends, "class", "left").select("doc_id", "class", F.coalesce("links", F.lit(0)).alias("links"))
 
 
 def streaming_windows(s: SparkSession, d: str) -> DataFrame:
