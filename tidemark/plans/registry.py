@@ -63,7 +63,7 @@ TOOLS: dict[str, Tool] = {
     "detect_periodicity": _filled(kernels.estimate_period),
     "seasonality_detector": _filled(lambda filled, period=24: kernels.seasonal_strength(kernels.decompose(filled, period))),
     "FFT": _filled(kernels.power_spectrum),
-    "STL": _filled(lambda filled, period=24: kernels.decompose(filled, period)),
+    "STL": _filled(lambda filled, period=24, robust=True: stl.robust_components(filled, period, robust=robust)),
     "find_peaks": _filled(diagnostics.peaks),
     "outlier_clipper": _filled(diagnostics.clipped),
     "cpt_detector": lambda grid, of="mean": _filled(profiles.variance_change if of == "variance" else diagnostics.change_point)(grid),
