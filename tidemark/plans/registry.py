@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import diagnostics, generators, kernels, panel, profiles, relations
+from tidemark.operators import arima, diagnostics, generators, kernels, panel, profiles, relations, stl
 
 Tool = Callable[..., DataFrame]
 
@@ -74,7 +74,7 @@ TOOLS: dict[str, Tool] = {
     "causal": _filled(kernels.granger_f),
     "feature_generate": _filled(diagnostics.lag_features),
     "tsfresh_extractor": lambda grid: panel.summary(grid).join(diagnostics.shape(grid), "series_id"),
-    "arima_forecast": _filled(kernels.forecast_ar),
+    "arima_forecast": _filled(lambda filled, order=(1, 1, 1), horizon=12: arima.arima_forecast(filled, [tuple(order)], horizon)),
     "inject_defects": _filled(generators.inject_defects),
 }
 
