@@ -141,40 +141,53 @@ def synthesize(scenarios: DataFrame) -> DataFrame:
     amplitude = F.when(is_("heterogeneous_panel"), _between(8, 19, *key, "amplitude")).otherwise(_between(9, 16, *key, "amplitude"))
     told = each.withColumns({
         "grp": group, "lag": lag, "wc": weight("w_common", 0.88, 0.82, 0.04), "wg": weight("w_group", 0.0, 0.0, 0.0), "wi": weight("w_own", 0.12, 0.18, 0.96),
-        "scale": scale, "offset": offset, "amplitude": amplitude, "own": _factor(name, _own_period(name)), "own_phase": odd,
+        "scale": scale, "offset": offset, "amplitude": amplitude, "own": _factor(name, _own_period(name)),
         "places": F.when(is_("distribution_mismatch"), _shuffled_blocks(n, *key, "block")).otherwise(F.transform(F.sequence(F.lit(0), n - 1), lambda t: F.pmod(t - lag, n))),
         "motif_length": F.when(is_("motif"), F.greatest(F.lit(12), F.least(F.lit(36), F.floor(n / 12).cast("int")))),
         "motif_starts": F.when(is_("motif"), F.array((F.floor(n * 0.18) + 2 * i).cast("int"), (F.floor(n * 0.62) - i).cast("int"))),
-        "motif_height": _between(28, 40, *key, "motif"),
     })
+    # what all points share is held as one value, so that it is worked out once a series and not once a point
+    held = F.struct(
+        "own", "places", F.get("group_factors", F.col("grp")).alias("grouped"), F.sqrt("wc").alias("wc"), F.sqrt("wg").alias("wg"), F.sqrt("wi").alias("wi"),
+        (45 + F.col("offset")).alias("base"), (F.col("amplitude") * F.col("scale")).alias("stretch"), odd.alias("odd"), *_extras(key),
+    )
 
-    def value(t: Column) -> Column:
-        at = lambda c, p: F.get(c, p)
-        mixed = F.sqrt("wc") * at("common", at("places", t)) + F.sqrt("wg") * at(at("group_factors", F.col("grp")), t) + F.sqrt("wi") * at("own", t)
-        return 45 + F.col("offset") + F.col("amplitude") * F.col("scale") * mixed + _added(t, key, odd)
+    def value(t: Column, h: Column) -> Column:
+        mixed = h["wc"] * F.get("common", F.get(h["places"], t)) + h["wg"] * F.get(h["grouped"], t) + h["wi"] * F.get(h["own"], t)
+        return h["base"] + h["stretch"] * mixed + _added(t, key, h)
 
     kept = ["scenario", "attempt", "series", "pattern", "kind", "tier", "low", "high", "target", "n", "k", "odd", "grp", "lag", "wc", "wg", "wi", "scale", "offset", "amplitude", "motif_starts", "motif_length"]
-    return told.select(*kept, F.transform(F.sequence(F.lit(0), n - 1), value).alias("values"))
+    points_of = F.transform(F.array(held), lambda h: F.transform(F.sequence(F.lit(0), n - 1), lambda t: value(t, h)))
+    return told.select(*kept, points_of[0].alias("values"))
 
 
 def _own_period(name: Column) -> Column:
     return F.greatest(F.lit(6.0), F.col("n") / (4 + F.floor(8 * _u(F.col("scenario"), F.col("attempt"), name, "period"))))
 
 
-def _added(t: Column, key: tuple, odd: Column) -> Column:
+def _extras(key: tuple) -> list[Column]:
+    """Draws of what may stand on top of a series' factors."""
+    n = F.col("n")
+    return [
+        "motif_starts", "motif_length", _between(28, 40, *key, "motif").alias("motif_height"), _between(5, 12, *key, "wave height").alias("wave_height"),
+        F.greatest(F.lit(4.0), n / _between(5, 11, *key, "waves")).alias("wave_length"), _between(7, 13, *key, "reversal").alias("reversal"),
+        F.floor(n * 0.62).alias("reversed_at"), F.greatest(F.lit(8.0), F.floor(n / 16).cast("double")).alias("width"),
+    ]
+
+
+def _added(t: Column, key: tuple, h: Column) -> Column:
     """What stands on top of the factors at t: motifs, the odd series' wave, a local reversal."""
-    n, length = F.col("n"), F.col("motif_length")
+    n, length = F.col("n"), h["motif_length"]
 
     def motif(start: Column) -> Column:
         inside = (t >= start) & (t < start + length) & (start + length <= n)
-        return F.when(inside, F.col("motif_height") * F.sin(2 * math.pi * (t - start) / (length - 1)) + 0.35 * _normal(*key, "motif", t.cast("string"))).otherwise(0.0)
+        return F.when(inside, h["motif_height"] * F.sin(2 * math.pi * (t - start) / (length - 1)) + 0.35 * _normal(*key, "motif", t.cast("string"))).otherwise(0.0)
 
-    motifs = F.when(F.col("pattern") == "motif", motif(F.col("motif_starts")[0]) + motif(F.col("motif_starts")[1])).otherwise(0.0)
-    wave = _between(5, 12, *key, "wave height") * F.sin(2 * math.pi * t / F.greatest(F.lit(4.0), n / _between(5, 11, *key, "waves")))
+    motifs = F.when(F.col("pattern") == "motif", motif(h["motif_starts"][0]) + motif(h["motif_starts"][1])).otherwise(0.0)
+    wave = h["wave_height"] * F.sin(2 * math.pi * t / h["wave_length"])
     late = (F.col("pattern") == "heterogeneous_panel") & (F.col("series") >= F.greatest(F.lit(1), F.col("k") - 2))
-    width = F.greatest(F.lit(8.0), F.floor(n / 16).cast("double"))
-    reversal = -_between(7, 13, *key, "reversal") * F.exp(-0.5 * F.pow((t - F.floor(n * 0.62)) / width, 2))
-    return motifs + F.when(odd, wave).otherwise(0.0) + F.when(late, reversal).otherwise(0.0)
+    reversal = -h["reversal"] * F.exp(-0.5 * F.pow((t - h["reversed_at"]) / h["width"], 2))
+    return motifs + F.when(h["odd"], wave).otherwise(0.0) + F.when(late, reversal).otherwise(0.0)
 
 
 def points(panel: DataFrame) -> DataFrame:
@@ -271,9 +284,9 @@ def gated_panels(scenarios: DataFrame, attempts: int = 12) -> tuple[DataFrame, D
         kept.append(panel.join(passed, "scenario", "left_semi"))
         last = judged if attempt == attempts - 1 else judged.join(passed, "scenario", "left_semi")
         verdicts.append(last.select("scenario", "pattern", (F.col("attempt") + 1).alias("attempts"), *[F.round(c, 4).alias(c) for c in ("mean_r", "within_r", "between_r")], F.array_join("reasons", ",").alias("reasons")))
-        left = written(left.join(passed, "scenario", "left_anti"), "scenarios")
-        if left.isEmpty():
+        if judged.where("size(reasons) > 0").isEmpty():
             break
+        left = left.join(passed, "scenario", "left_anti")
     panels, verdict = kept[0], verdicts[0]
     for p, v in zip(kept[1:], verdicts[1:], strict=True):
         panels, verdict = panels.unionByName(p), verdict.unionByName(v)

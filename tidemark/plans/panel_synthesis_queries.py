@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import factor_panels as fp
 from tidemark.plans.panel_queries import _t
+from tidemark.shared import written
 
 _PATTERNS = [*fp.KINDS, "multi_period", "covariates"]
 _TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -27,7 +28,7 @@ def scenarios(s: SparkSession, d: str, until: str = "9999-01-01") -> DataFrame:
 
 
 def factor_panels(s: SparkSession, d: str) -> DataFrame:
-    panel = fp.synthesize(fp.relation_profile(scenarios(s, d)).withColumn("attempt", F.lit(0)))
+    panel = written(fp.synthesize(fp.relation_profile(scenarios(s, d)).withColumn("attempt", F.lit(0))), "panels")
     values = fp.points(panel).groupBy("scenario", "series").agg(F.round(F.avg("value"), 4).alias("mean_value"), F.round(F.stddev_pop("value"), 4).alias("sd_value"), F.round(F.max_by("value", "t"), 4).alias("last_value"))
     r4 = lambda c: F.round(c, 4).alias(c)
     return panel.select("scenario", "series", "kind", r4("target"), "grp", "lag", r4("wc"), r4("wg"), r4("wi")).join(values, ["scenario", "series"])
@@ -35,14 +36,14 @@ def factor_panels(s: SparkSession, d: str) -> DataFrame:
 
 def panel_gate(s: SparkSession, d: str) -> DataFrame:
     """The relations that the first panel of each scenario has, and what its kind lacks."""
-    judged = fp.panel_metrics(fp.synthesize(fp.relation_profile(scenarios(s, d)).withColumn("attempt", F.lit(0))))
+    judged = fp.panel_metrics(written(fp.synthesize(fp.relation_profile(scenarios(s, d)).withColumn("attempt", F.lit(0))), "panels"))
     r4 = lambda c: F.round(c, 4).alias(c)
     return judged.select("scenario", "pattern", *map(r4, ("mean_r", "within_r", "between_r", "normal_r", "odd_r", "distance", "motif_r")), F.array_join(fp.relation_reasons(), ",").alias("reasons"))
 
 
 def gated_panels(s: SparkSession, d: str) -> DataFrame:
-    """Attempts and lasting reasons of each scenario, and how many series its panel has."""
-    panels, verdicts = fp.gated_panels(scenarios(s, d))
+    """Attempts (six at most) and lasting reasons of each scenario, and how many series its panel has."""
+    panels, verdicts = fp.gated_panels(scenarios(s, d), attempts=6)
     return verdicts.join(panels.groupBy("scenario").agg(F.count("*").cast("int").alias("series")), "scenario", "left").select("scenario", "pattern", "attempts", "reasons", F.coalesce("series", F.lit(0)).alias("series"))
 
 
