@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import weakref
@@ -73,6 +74,12 @@ def discard(*tables: DataFrame) -> None:
             where.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of work that is done: it finds them when the driver collects its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def held_out(doc_id: Column | str = "doc_id") -> Column:
     """Whether crc32 of the id as text is 2 modulo 4; a null id is not held out."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

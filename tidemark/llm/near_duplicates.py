@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import bound_batches, discard, map_text, materialise, words_of
+from tidemark.llm.common import bound_batches, discard, map_text, materialise, release, words_of
 from tidemark.llm.components import connected_components
 from tidemark.session import ship_package
 
@@ -313,6 +313,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     )
     out = materialise(flags, "flags")
     discard(rows, classes, component)
+    release(docs.sparkSession)
     return out
 
 
