@@ -121,3 +121,11 @@ def test_gated_queries_agree(spark, sf):
     assert all((r.attempts == 1) == (first[r.scenario].reasons == "") for r in rows)
     assert all((r.series > 0) == (r.reasons == "") for r in rows)
     assert sum(r.reasons == "" for r in rows) >= 0.8 * len(rows)
+
+
+def test_scenarios_are_dealt_over_tasks(spark):
+    """Scenarios that come in one task are made and judged in as many as there are shuffle partitions."""
+    rows = [(f"u{i}", "motif", 60, 3, 7.5, 0, 0) for i in range(40)]
+    one = fp.relation_profile(spark.createDataFrame(rows, "scenario string, pattern string, n int, k int, period double, odd int, attempt int").coalesce(1))
+    where = fp.synthesize(one).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert where == int(spark.conf.get("spark.sql.shuffle.partitions"))
