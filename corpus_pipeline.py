@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontamination, line_dedup, near_duplicates, packing, toxicity
-from tidemark.llm.common import WORD_TABLE, discard, materialise
+from tidemark.llm.common import WORD_TABLE, discard, materialise, release
 
 #: Whether a text has a word, as the later stages see words.
 _WORDLESS = "".join(chr(b) for b in range(128) if WORD_TABLE[b] == 32)
@@ -17,6 +17,7 @@ _WORDLESS = "".join(chr(b) for b in range(128) if WORD_TABLE[b] == 32)
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the severity model doesn't reject; null and empty texts have no severity and stay."""
+    release(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = toxicity.score(docs, toxicity.fit(docs, labels))
     return scored.where(~F.col("rejected")).select(docs.columns)
@@ -29,6 +30,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     each other to the next stage.  A document all of whose words stood in repeated lines goes.  A null or
     empty text stays as it is.
     """
+    release(spark)
     clean = line_dedup.dedup_lines(docs, spare_copies=True)
     changed = F.col("n_exact") + F.col("n_near") > 0
     emptied = changed & (F.translate("text", _WORDLESS, "") == "")
@@ -46,9 +48,12 @@ def _counted(changed_docs: DataFrame, docs: DataFrame, changed: Column) -> DataF
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group, that with the least id; documents without words all stay.
 
-    Groups are looked for in the texts as they are here and as they were before lines were taken out of them.
+    Groups are looked for in the texts as they are here and as they were before lines were taken out of them; without
+    a folder of tables (an empty name) the texts are as they were.
     """
-    return near_duplicates.drop_near_duplicates(docs, untouched=spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    release(spark)
+    untouched = spark.read.parquet(f"{sf_dir}/documents.parquet") if sf_dir else None
+    return near_duplicates.drop_near_duplicates(docs, untouched=untouched)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -123,3 +123,21 @@ def test_the_pipeline_keeps_near_copies_together(spark):
     assert len(near) > 20 and len(near - left) >= 0.9 * len(near)
     exact = {r.doc_id for r in flags if not r.keep and r.class_id == r.group_id}
     assert not exact & left
+
+
+def test_tally_copies_blocks_only():
+    """Counts and sums equal bincount's; the fit's index of four bytes is never copied whole to eight."""
+    import tracemalloc
+
+    import numpy as np
+
+    from tidemark.llm.toxicity import _tally
+
+    index = np.random.default_rng(1).integers(0, 50, 4_000_000).astype("int32")
+    weight = np.arange(50.0)
+    tracemalloc.start()
+    counts, sums = _tally(index, 50), _tally(index, 50, lambda part: weight[index[part]])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert counts.tolist() == np.bincount(index).tolist() and np.allclose(sums, np.bincount(index, weight[index]))
+    assert peak < 4 * len(index) * 2

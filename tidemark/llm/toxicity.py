@@ -47,6 +47,15 @@ class OrdinalModel:
         return self.tail(eta).sum(1)
 
 
+def _tally(index: np.ndarray, n: int, weights=None, block: int = 1 << 20) -> np.ndarray:
+    """Counts of each index below ``n``, or sums of ``weights`` (of a slice), block by block: numpy copies an index to eight bytes each."""
+    out = np.zeros(n, "int64" if weights is None else "float64")
+    for start in range(0, len(index), block):
+        part = slice(start, start + block)
+        out += np.bincount(index[part], None if weights is None else weights(part), n)
+    return out
+
+
 def fit_ordinal(indptr: np.ndarray, columns: np.ndarray, grades: np.ndarray, n_features: int, n_grades: int, *, steps: int = 200, rate: float = 0.1, l2: float = 2e-4) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ordered thresholds by full-batch Adam on the penalised likelihood of binary features."""
     rows = np.repeat(np.arange(len(grades), dtype="int32"), np.diff(indptr))
@@ -57,7 +66,7 @@ def fit_ordinal(indptr: np.ndarray, columns: np.ndarray, grades: np.ndarray, n_f
     at = np.arange(len(grades))
     for step in range(1, steps + 1):
         w, th = params[:n_features], np.cumsum([params[n_features], *np.exp(params[n_features + 1 :])])
-        eta = np.bincount(rows, w[columns], len(grades))
+        eta = _tally(rows, len(grades), lambda part: w[columns[part]])
         tail = np.ones((len(grades), n_grades + 1))
         tail[:, -1] = 0
         tail[:, 1:-1] = 1 / (1 + np.exp(np.clip(th[None, :] - eta[:, None], -60, 60)))
@@ -67,7 +76,7 @@ def fit_ordinal(indptr: np.ndarray, columns: np.ndarray, grades: np.ndarray, n_f
         g_eta = -(up - down) / len(grades)
         g_th = np.array([np.sum(up[grades == k]) - np.sum(down[grades == k - 1]) for k in range(1, n_grades)]) / len(grades)
         g_raw = np.cumsum(g_th[::-1])[::-1]
-        grad = np.concatenate([np.bincount(columns, g_eta[rows], n_features) + l2 * w, g_raw[:1], g_raw[1:] * np.exp(params[n_features + 1 :])])
+        grad = np.concatenate([_tally(columns, n_features, lambda part: g_eta[rows[part]]) + l2 * w, g_raw[:1], g_raw[1:] * np.exp(params[n_features + 1 :])])
         first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad**2
         params -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
     return params[:n_features], np.cumsum([params[n_features], *np.exp(params[n_features + 1 :])])
@@ -121,13 +130,13 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
         parts.append(chunk.flatten().to_numpy())
     del got
     # numbers of four bytes and counts without weights: the sample's features are what the driver holds most of
-    names = np.unique(np.concatenate(parts).view("uint32"))
+    names = np.unique(np.concatenate([np.unique(p.view("uint32")) for p in parts]))
     columns = np.concatenate([np.searchsorted(names, p.view("uint32")).astype("int32") for p in parts])
     del parts
     rows_at = np.repeat(np.arange(len(toxic), dtype="int32"), np.concatenate(sizes))
     n1, n0 = toxic.sum(), (~toxic).sum()
-    d1 = np.bincount(columns[toxic[rows_at]], minlength=len(names))
-    d0 = np.bincount(columns, minlength=len(names)) - d1
+    d1 = _tally(columns[toxic[rows_at]], len(names))
+    d0 = _tally(columns, len(names)) - d1
     odds = np.log((d1 + 0.5) / (n1 + 1)) - np.log((d0 + 0.5) / (n0 + 1))
     strength = np.abs(odds) / np.sqrt(1 / (d1 + 0.5) + 1 / (d0 + 0.5))
     strength[d1 + d0 < 4] = 0
@@ -136,10 +145,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     place = np.full(len(names), -1, "int32")
     place[kept] = np.arange(len(kept))
     strong = (odds > 2) & (strength > 4)
-    evidence = np.bincount(rows_at[strong[columns]], minlength=len(toxic))
+    evidence = _tally(rows_at[strong[columns]], len(toxic))
     columns = place[columns]
     rows_at, columns = rows_at[columns >= 0], columns[columns >= 0]
-    indptr = np.concatenate([[0], np.cumsum(np.bincount(rows_at, minlength=len(toxic)))])
+    indptr = np.concatenate([[0], np.cumsum(_tally(rows_at, len(toxic)))])
     del rows_at
     weights, thresholds = fit_ordinal(indptr, columns, grades_of(toxic, evidence), len(kept), GRADES)
     return OrdinalModel({int(n): float(w) for n, w in zip(names[kept], weights, strict=True) if w}, thresholds)
