@@ -136,3 +136,26 @@ def test_odd_steps(spark):
     got = looped(spark, rows)
     assert [(r[0], r[2], r[5], r[6], r[12], r[13]) for r in got] == [(2, "final", None, None, "error", "empty_answer"), (3, "call", False, "unknown_tool", "running", None), (4, "call", False, got[2][6], "running", None)]
     assert looped(spark, []) == []
+
+
+def test_state_takes_rows_as_they_come():
+    """A run's steps are taken row by row, without a table for each run and batch."""
+    from pyspark.sql import Row
+
+    from tidemark.streaming import agent_loop as al
+
+    class Held:
+        kept = None
+
+        def get(self):
+            return self.kept
+
+        def update(self, value):
+            self.kept = value
+
+    loop = al._Loop(Limits(), "run")
+    loop.held = Held()
+    step = lambda n, calls: Row(run=7, step=n, text="done", n_calls=calls, call_id=f"c{n}", name="plot", ok=True, error_type=None, signature="s")
+    assert list(loop.handleInputRows((7,), iter([step(1, 0)]), None)) == []
+    got = list(loop.handleInputRows((7,), iter([step(0, 1)]), None))
+    assert [(r.run, r.step, r.kind, r.used, r.status) for r in got] == [(7, 0, "call", 1, "running"), (7, 1, "final", 1, "ok")]

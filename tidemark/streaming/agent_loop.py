@@ -13,7 +13,7 @@ from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -141,14 +141,15 @@ class _Loop(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.held = handle.getValueState("loop", "state string")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        state = LoopState(**json.loads(self.held.get()[0])) if self.held.exists() else LoopState()
-        for part in rows:
-            _offer_all(state, part, self.limits)
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        known = self.held.get()
+        state = LoopState(**json.loads(known[0])) if known else LoopState()
+        for row in rows:
+            state.offer({k: row[k] for k in STEP}, self.limits)
         made = list(state.rows(self.limits))
         self.held.update((json.dumps(asdict(state)),))
-        if made:
-            yield _frame(self.key, key[0], made)
+        for row in made:
+            yield Row(**{self.key: key[0]}, **{c: row[c] for c in COLUMNS})
 
     def close(self) -> None:
         pass
@@ -170,7 +171,7 @@ def agent_loop(steps: DataFrame, key: str, tools: dict[str, dict], limits: Limit
     few = checked_steps(steps, key, tools).where((F.col("step") <= limits.calls) & F.col(key).isNotNull())
     schema = f"`{key}` {steps.schema[key].dataType.simpleString()}, {OUT}"
     if steps.isStreaming:
-        return few.groupBy(key).transformWithStateInPandas(_Loop(limits, key), outputStructType=schema, outputMode="Append", timeMode="None")
+        return few.groupBy(key).transformWithState(_Loop(limits, key), outputStructType=schema, outputMode="Append", timeMode="None")
 
     def fold(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         state = LoopState()
