@@ -198,3 +198,14 @@ def test_grid_of_an_empty_panel(spark):
     assert panel.full_grid(grid(spark, [])).count() == 0
     two = panel.full_grid(grid(spark, [("a", 1, 1.0), ("b", 3, 2.0)]))
     assert two.count() == 6 and two.where("value IS NULL").count() == 4
+
+
+def test_long_keys_do_not_travel_with_grams(spark, monkeypatch):
+    """Grams are joined by a text's place: what is exploded carries no key."""
+    from tidemark.operators import text_similarity as ts
+
+    df = spark.createDataFrame([("k" * 64 + str(i), "a text of some length, " + "xyz"[i] * 3) for i in range(3)], "k string, x string")
+    plan = ts.similar_texts(df, "k", "x", 0.8)._jdf.queryExecution().optimizedPlan().toString()
+    made = [line for line in plan.split("\n") if "Generate explode" in line]
+    assert made and not any(" k#" in line or "[k#" in line for line in made)
+    assert {(r.k_a[-1], r.k_b[-1]) for r in ts.similar_texts(df, "k", "x", 0.8).collect()} == {("0", "1"), ("0", "2"), ("1", "2")}
