@@ -141,3 +141,41 @@ def test_tally_copies_blocks_only():
     tracemalloc.stop()
     assert counts.tolist() == np.bincount(index).tolist() and np.allclose(sums, np.bincount(index, weight[index]))
     assert peak < 4 * len(index) * 2
+
+
+def test_components_stop_at_stars_and_leave_no_rounds_behind(spark, monkeypatch):
+    """Stars take no round, tangled graphs equal union and find, and only the result stays in the shared folder."""
+    from tidemark.llm import components
+
+    names, made = [], components.materialise
+    monkeypatch.setattr(components, "materialise", lambda df, name: names.append(name) or made(df, name))
+    stars = spark.createDataFrame([(0, k) for k in range(1, 9)] + [(20, 21)], "a long, b long")
+    assert {r.node: r.component for r in components.connected_components(stars).collect()} == {k: 0 for k in range(9)} | {20: 20, 21: 20}
+    assert names == ["edges", "components"]
+
+    draw = random.Random(5)
+    edges = [(draw.randint(0, 400), draw.randint(0, 400)) for _ in range(260)] + [(500 - k, 499 - k) for k in range(60)]
+    root = {k: k for e in edges for k in e}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        root[max(find(a), find(b))] = min(find(a), find(b))
+    got = components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
+    linked = {k for a, b in edges if a != b for k in (a, b)}
+    assert sorted((r.node, r.component) for r in got) == sorted((k, find(k)) for k in linked)
+
+
+def test_near_duplicates_leave_only_flags_in_the_shared_folder(spark):
+    import os
+
+    from tidemark.llm.common import checkpoint_root
+
+    folder = checkpoint_root(spark).removeprefix("file://")
+    before = set(os.listdir(folder))
+    docs = spark.createDataFrame([(k, " ".join(f"w{(k % 4) * 100 + j + (j == k)}" for j in range(60))) for k in range(24)], "doc_id long, text string")
+    assert near_duplicates.near_duplicates(docs).count() == 24
+    assert [x.split("-")[1] for x in set(os.listdir(folder)) - before] == ["flags"]

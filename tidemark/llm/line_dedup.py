@@ -293,7 +293,7 @@ def near_lines(lines: DataFrame, firsts: DataFrame, fetch: Callable[[DataFrame],
     sizes = crowd_cells.groupBy("role", "key", "cell").agg(F.count("*").alias("n"))
     most, rows = sizes.agg(F.max("n"), F.sum("n")).first()
     most = most or 0
-    settled, parts = found.select("h1"), 1
+    settled, parts, nears = found.select("h1"), 1, [found]
     while most and not crowd_cells.join(settled, "h1", "left_anti").isEmpty():
         last = parts * GROWTH >= most
         tasks = rows * min(parts if not last else most, most) // MEETINGS_A_TASK + 1
@@ -301,13 +301,14 @@ def near_lines(lines: DataFrame, firsts: DataFrame, fetch: Callable[[DataFrame],
         met = materialise(met[0].unionByName(met[1]).distinct(), "line-led")
         more = near(met)
         discard(met)
+        nears.append(more)
         found = found.unionByName(more)
         settled = settled.unionByName(more.select("h1"))
         if last:
             break
         parts *= GROWTH
     found = materialise(found.distinct(), "near-lines")
-    discard(pairs, crowd, wanted, texts, crowd_cells)
+    discard(pairs, crowd, wanted, texts, crowd_cells, *nears)
     return found
 
 

@@ -243,6 +243,7 @@ def _open_pairs(checked: DataFrame, component: DataFrame, similarity: float) ->
     about = F.struct("size", "blocks", "beyond", (F.col("ca") == F.col("cb")).alias("led"))
     rows = placed.join(outside, "b", "left_semi").select("a", "ca", about.alias("of"), F.posexplode("keys").alias("pos", "key"))
     rows = materialise(rows, "prefixes")
+    release(rows.sparkSession)
     least = lambda n: F.ceil(n * (similarity / (1 + similarity)) - 1e-9)
     short = rows.where(F.col("pos") <= F.col("of.size") - least(2 * F.col("of.size")))
     x = short.select("key", F.col("a").alias("x"), F.col("ca").alias("cx"), F.col("of").alias("ox"), F.col("pos").alias("px"))
@@ -253,7 +254,9 @@ def _open_pairs(checked: DataFrame, component: DataFrame, similarity: float) ->
     enough = (F.col("p.key") == F.col("q.key")) & (F.col("cx") != F.col("cy")) & (nx <= ny) & (most >= least(nx + ny))
     met = [x.where("NOT ox.led").alias("p").join(y.alias("q"), enough), x.where("ox.led").alias("p").join(y.where("NOT oy.led").alias("q"), enough)]
     pairs = met[0].select("x", "y").unionByName(met[1].select("x", "y"))
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    found = materialise(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "pairs")
+    discard(rows)
+    return found
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, among: DataFrame | None = None) -> DataFrame:
@@ -293,12 +296,16 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     checked = materialise(_verified(pairs, texts, similarity), "checked")
     release(docs.sparkSession)
     links = checked.where(F.col("distance") <= limit).select("a", "b")
-    component = materialise(connected_components(links), "components")
-    left = materialise(_open_pairs(checked, component, similarity), "pairs")
+    component = connected_components(links)
+    left = _open_pairs(checked, component, similarity)
     if not left.isEmpty():
         more = materialise(_verified(left, texts).where(F.col("distance") <= limit).select("a", "b"), "links")
         if not more.isEmpty():
-            component = materialise(connected_components(links.unionByName(more)), "components")
+            # what is linked hangs on its component already
+            first, hung = component, component.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+            component = connected_components(hung.unionByName(more))
+            discard(first)
+        discard(more)
 
     discard(rank, members, texts, checked, left)
     release(docs.sparkSession)
