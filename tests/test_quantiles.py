@@ -58,3 +58,24 @@ def test_classes_of_lines_and_their_links(spark, sf):
     got = {r.doc_id: (r["class"], r.links) for r in QUERIES["question_near_duplicates"](spark, sf).collect()}
     assert got == {k: (least[t], links[least[t]]) for k, t in firsts.items()}
     assert len(least) < len(firsts)
+
+
+def test_quantiles_write_the_rows_once(spark, monkeypatch):
+    """Beside the values themselves only tables of a few rows are written; ties, groups and far ranks are exact."""
+    from tidemark.operators import quantiles
+
+    sizes, put = {}, quantiles.written
+
+    def written(df, name):
+        table = put(df, name)
+        sizes[name] = table.count()
+        return table
+
+    monkeypatch.setattr(quantiles, "written", written)
+    rows = spark.range(20_000).select((F.col("id") % 3).alias("g"), F.when(F.col("id") % 5 < 3, F.lit(7.25)).otherwise(F.pmod(F.hash("id"), F.lit(1_000_003)) / 64).alias("v"))
+    shares = [0.0, 0.1, 0.5, 0.72, 1.0]
+    got = {r.g: [r[f"q{k}"] for k in range(5)] for r in quantiles.exact_quantiles(rows, ["g"], F.col("v"), shares).collect()}
+    values = rows.toPandas()
+    for g, v in values.groupby("g").v:
+        assert np.allclose(got[g], np.quantile(v, shares), rtol=0, atol=1e-9)
+    assert sizes.pop("values") == 20_000 and all(n <= 3 * 10 for n in sizes.values())

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.stats import r6
 from tidemark.operators.quantiles import exact_quantiles
+from tidemark.shared import written
 
 
 def _series() -> WindowSpec:
@@ -153,12 +154,13 @@ def interval_coverage(rows: DataFrame, groups: list[str], level: float = 0.72) -
 
     The half width is the ``level`` quantile of absolute residuals over all rows, a single number.
     """
-    half = exact_quantiles(rows, [], F.abs(F.col("actual") - F.col("predicted")), [level]).select(F.col("q0").alias("half"))
-    inside = F.coalesce((F.abs(F.col("actual") - F.col("predicted")) <= F.col("half")).cast("int"), F.lit(0))
-    wide = rows.join(F.broadcast(half)).withColumn("inside", inside)
+    kept = written(rows.select(*groups, F.abs(F.col("actual") - F.col("predicted")).alias("off")), "residuals")
+    half = exact_quantiles(kept, [], F.col("off"), [level]).select(F.col("q0").alias("half"))
+    inside = F.coalesce((F.col("off") <= F.col("half")).cast("int"), F.lit(0))
+    counted = kept.join(F.broadcast(half)).groupBy(*groups, "half").agg(F.count("*").alias("rows"), F.sum(inside).alias("inside"))
     sets = [[], *[[g] for g in groups]]
-    agg = [F.count("*").alias("n"), r6(F.avg("inside")).alias("coverage"), F.round(F.avg(2 * F.col("half")), 4).alias("width")]
-    return wide.groupingSets([[F.col(g) for g in s] for s in sets], *[F.col(g) for g in groups]).agg(*agg)
+    agg = [F.sum("rows").alias("n"), r6(F.sum("inside") / F.sum("rows")).alias("coverage"), F.round(2 * F.max("half"), 4).alias("width")]
+    return counted.groupingSets([[F.col(g) for g in s] for s in sets], *[F.col(g) for g in groups]).agg(*agg)
 
 
 def drift_index(rows: DataFrame, value: str, late: Column, bins: int = 10) -> DataFrame:

@@ -7,30 +7,35 @@ from pyspark.sql import functions as F
 
 from tidemark.shared import written
 
-#: Parts that the distinct values of a group are cut into; only those with a wanted rank are sorted.
+#: A wanted rank is looked for among one in so many of a group's rows to either side of it.
 BUCKETS = 256
 
 
 def exact_quantiles(rows: DataFrame, by: list[str], value: Column, shares: list[float], buckets: int = BUCKETS) -> DataFrame:
     """``by`` and q0, q1, ...: the quantiles of ``value`` at ``shares`` with linear interpolation, nulls left out.
 
-    Equal values are counted first.  A sketch cuts the distinct values of a group into buckets; running sums over
-    the buckets tell which of them hold a wanted rank, and only these are sorted.  Without ``by`` there is one
-    row; a group without values, or an empty table, makes none.
+    A sketch gives two cuts around each wanted rank of a group; the rows between cuts are counted, which tells exactly
+    where the rank lies, and only the values there are counted one by one and put in order.  Neither cuts nor counts
+    need the rows to be dealt out.  Without ``by`` there is one row; a group without values, or an empty table, makes none.
     """
     keys = by or ["all_rows"]
     keyed = rows.select(*by, value.cast("double").alias("v")) if by else rows.select(F.lit(0).alias("all_rows"), value.cast("double").alias("v"))
-    counted = written(keyed.where("v IS NOT NULL").groupBy(*keys, "v").agg(F.count("*").alias("c")), "values")
-    cuts = counted.groupBy(*keys).agg(F.array_distinct(F.percentile_approx("v", [k / buckets for k in range(1, buckets)], 4 * buckets)).alias("cuts"), F.sum("c").alias("n"))
+    values = written(keyed.where("v IS NOT NULL"), "values")
+    around = [min(max(p + side / buckets, 0.0), 1.0) for p in shares for side in (-1, 1)]
+    # written, so that Spark knows how few rows they are
+    cuts = written(values.groupBy(*keys).agg(F.percentile_approx("v", around, 8 * buckets).alias("cuts"), F.count("*").alias("n")), "cuts")
     same = lambda a, b: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys]
-    placed = written(counted.alias("x").join(cuts.alias("y"), same("x", "y")).select(*[f"x.{k}" for k in keys], "v", "c", "n", F.size(F.filter("cuts", lambda e: e < F.col("v"))).alias("bucket")), "placed")
-    sums = placed.groupBy(*keys, "bucket").agg(F.sum("c").alias("inside"), F.first("n").alias("n"))
+    bucket = sum(((F.get("cuts", F.lit(i)) < F.col("v")).cast("int") for i in range(len(around))), F.lit(0))
+    placed = values.alias("x").join(cuts.alias("y"), same("x", "y")).select(*[f"x.{k}" for k in keys], "v", "n", bucket.alias("bucket"))
+    sums = placed.groupBy(*keys, "bucket").agg(F.count("*").alias("inside"), F.first("n").alias("n"))
     before = F.sum("inside").over(Window.partitionBy(*keys).orderBy("bucket")) - F.col("inside")
     at = [(F.col("n") - 1) * F.lit(float(p)) for p in shares]
     ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(h), F.ceil(h)) for h in at])))
     wanted = sums.withColumns({"before": before, "ranks": ranks})
     wanted = wanted.withColumn("ranks", F.filter("ranks", lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("inside")))).where(F.size("ranks") > 0)
-    few = placed.drop("n").alias("x").join(wanted.alias("y"), [*same("x", "y"), F.col("x.bucket") == F.col("y.bucket")]).select(*[f"x.{k}" for k in keys], "x.bucket", "v", "c", "n", "before", "ranks")
+    wanted = written(wanted, "wanted")
+    few = placed.drop("n").alias("x").join(wanted.alias("y"), [*same("x", "y"), F.col("x.bucket") == F.col("y.bucket")]).select(*[f"x.{k}" for k in keys], "x.bucket", "v", "n", "before", "ranks")
+    few = few.groupBy(*keys, "bucket", "v").agg(F.count("*").alias("c"), *[F.first(c).alias(c) for c in ("n", "before", "ranks")])
     upto = F.sum("c").over(Window.partitionBy(*keys, "bucket").orderBy("v")) + F.col("before")
     ranked = few.withColumn("upto", upto).select(*keys, "n", "v", F.explode(F.filter("ranks", lambda r: (r >= F.col("upto") - F.col("c")) & (r < F.col("upto")))).alias("rank"))
     ends = [c for i, h in enumerate(at) for c in (F.max(F.when(F.col("rank") == F.floor(h), F.col("v"))).alias(f"low{i}"), F.max(F.when(F.col("rank") == F.ceil(h), F.col("v"))).alias(f"high{i}"))]
