@@ -209,3 +209,32 @@ def test_long_keys_do_not_travel_with_grams(spark, monkeypatch):
     made = [line for line in plan.split("\n") if "Generate explode" in line]
     assert made and not any(" k#" in line or "[k#" in line for line in made)
     assert {(r.k_a[-1], r.k_b[-1]) for r in ts.similar_texts(df, "k", "x", 0.8).collect()} == {("0", "1"), ("0", "2"), ("1", "2")}
+
+
+def test_similar_texts_by_pieces_against_all_pairs(spark):
+    """Long, equal, empty and short texts, several ratios, and pairs with a fresh text only."""
+    r = random.Random(9)
+    base = ["".join(r.choice("abcdefghijklmnop é𝄞") for _ in range(n)) for n in (1, 2, 5, 8, 14, 15, 51, 199, 230, 700, 1400)]
+
+    def changed(t):
+        for _ in range(r.randint(1, max(1, len(t) // 12))):
+            k = r.randrange(len(t) + 1)
+            t = t[:k] + r.choice(["", "x", "yz"]) + t[k + r.randint(0, 2) :]
+        return t
+
+    texts = base + [changed(t) for t in base for _ in range(3)] + ["", "", base[7]]
+    df = spark.createDataFrame([(i, t, i % 3 == 0) for i, t in enumerate(texts)], "k int, x string, new boolean")
+    for ratio in (0.93, 0.6):
+        want = {(i, j) for j in range(len(texts)) for i in range(j) if round(SequenceMatcher(None, texts[j], texts[i]).ratio(), 6) > ratio}
+        assert {(p.k_a, p.k_b) for p in similar_texts(df, "k", "x", ratio).collect()} == want
+        assert {(p.k_a, p.k_b) for p in similar_texts(df, "k", "x", ratio, fresh="new").collect()} == {(i, j) for i, j in want if i % 3 == 0 or j % 3 == 0}
+
+
+def test_similar_texts_post_few_pieces(spark):
+    """A text posts as many pieces as characters can be unmatched, plus one, for two classes of length; it used to post half of its grams."""
+    from tidemark.operators import text_similarity as ts
+
+    r = random.Random(2)
+    texts = spark.createDataFrame([(k, "".join(r.choice("abcdefgh") for _ in range(1000))) for k in range(5)], "id long, x string")
+    assert ts._posted(texts, 0.93, True, "a").count() <= 5 * 2 * 141
+    assert ts._posted(texts, 0.93, False, "b").count() <= 5 * 1000
